@@ -1 +1,275 @@
-"""Placeholder."""
+"""Exact removal of repeated 100-byte strings with distributed suffix arrays.
+
+A string of 100 bytes is routed by its own content: of the 69 overlapping
+32-grams in it, the rightmost one with the smallest hash is its anchor. Equal
+strings have equal anchors, so all occurrences of a string meet in the shard
+of its anchor, and anchors that occur once prove that their strings do not
+repeat. What reaches a shard are segments: the bytes of all consecutive
+strings that share one anchor, about 135 bytes for 35 strings.
+
+A shard sorts the suffixes of its distinct segments by the difference-cover
+algorithm (:mod:`difference_cover`) and compares adjacent prefixes of 100
+bytes; of each class of equal prefixes all but the earliest string (document,
+then start) are marked. Of identical segments only the earliest is sorted, the
+others are marked whole.
+
+An anchor with more than ``HOT`` occurrences does not go to one task: its
+segments are collapsed by aggregation, and what is distinct is spread by the
+digests of its strings, also exactly.
+
+Phases are tables in the shared folder. No text, anchor or link reaches the
+driver.
+
+Defined cases: a null text is empty; texts under 100 bytes lose nothing; with
+null or repeated keys, rows are ordered by key (nulls first), then text, equal
+rows in any order, and each row is a document; an empty table gives an empty
+result; further columns are ignored.
+"""
+
+from __future__ import annotations
+
+import hashlib
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from scriptmill.llm.batches import schema_of, slices
+from scriptmill.llm.difference_cover import suffix_array
+from scriptmill.runtime import Workspace, ship
+
+LENGTH, GRAM = 100, 32
+GRAMS = LENGTH - GRAM + 1
+HOT = 20_000
+SHARD_BYTES = 1_000_000  # bytes sorted at once
+_A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+
+
+def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    r = a * _A
+    r += b
+    r ^= r >> np.uint64(29)
+    r *= _B
+    return r
+
+
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The 8 bytes from each place on as one number (a view)."""
+    return np.ndarray((len(data) - 7,), "<u8", data.data, strides=(1,))
+
+
+def anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    """(document number, first start, number of starts, anchor hash) of all maximal runs of strings with one anchor."""
+    lengths = np.array([len(x) for x in texts], np.int64)
+    ends = np.cumsum(lengths)
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    n = len(data) - LENGTH + 1
+    if n <= 0:
+        return tuple(np.zeros(0, d) for d in (np.int64, np.int64, np.int64, np.uint64))
+    h = _mix(_eights(data)[:-8], _eights(data)[8:])
+    h = _mix(h[:-16], h[16:])
+    low, width = h, 1
+    while width * 2 <= GRAMS:
+        low = np.minimum(low[:-width], low[width:])
+        width *= 2
+    low = np.minimum(low[: n], low[GRAMS - width : GRAMS - width + n])
+    # an anchor ends where the minimum changes or an equal one enters on the right
+    cut = h[GRAMS - 1 : GRAMS - 1 + n] == low
+    cut[1:] |= low[1:] != low[:-1]
+    starts = ends - lengths
+    cut[starts[(lengths > 0) & (starts < n)]] = True
+    at = np.flatnonzero(cut)
+    doc = np.searchsorted(ends, at, "right")
+    until = np.minimum(np.append(at[1:], n), ends[doc] - LENGTH + 1)
+    ok = until > at
+    at, doc, until = at[ok], doc[ok], until[ok]
+    return doc, at - starts[doc], until - at, low[at]
+
+
+def repeats(segments: list[bytes], firsts: np.ndarray) -> np.ndarray:
+    """Marks, over the string starts of all distinct segments in order, those that are not the earliest of their class; ``firsts`` ranks every start by (document, start)."""
+    counts = np.array([len(s) - LENGTH + 1 for s in segments], np.int64)
+    data = np.frombuffer(b"\0".join(segments) + bytes(8), np.uint8)
+    symbols = data[:-8].astype(np.int64) + 1
+    begin = np.cumsum(counts + LENGTH) - (counts + LENGTH)  # a segment has counts + LENGTH - 1 bytes and a separator
+    symbols[(begin + counts + LENGTH - 1)[:-1]] = 0
+    number = np.full(len(symbols), -1, np.int64)  # of each string start
+    inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    number[np.repeat(begin, counts) + inside] = np.arange(counts.sum())
+    order = suffix_array(symbols)
+    order = order[number[order] >= 0]
+    words, same = _eights(data), np.ones(len(order) - 1, bool)
+    for j in (*range(0, LENGTH - 8, 8), LENGTH - 8):
+        same &= words[order[1:] + j] == words[order[:-1] + j]
+    group = np.flatnonzero(np.concatenate([[True], ~same]))
+    ranks = firsts[number[order]]
+    least = np.repeat(np.minimum.reduceat(ranks, group), np.diff(np.append(group, len(order))))
+    marked = np.zeros(len(firsts), bool)
+    marked[number[order]] = ranks != least
+    return marked
+
+
+def _runs(marked: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and past-last place of each run of marks with one owner."""
+    on = np.concatenate([[False], marked, [False]])
+    turn = np.flatnonzero(on[1:] != on[:-1])
+    a, b = turn[::2], turn[1::2]
+    inner = np.flatnonzero(marked[1:] & marked[:-1] & (owner[1:] != owner[:-1])) + 1
+    return np.sort(np.concatenate([a, inner])), np.sort(np.concatenate([b, inner]))
+
+
+def _shard(ids: np.ndarray, starts: np.ndarray, segments: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, first start, number of starts) of the marked runs among the segments of some anchors."""
+    place: dict[bytes, int] = {}
+    which = np.fromiter((place.setdefault(s, len(place)) for s in segments), np.int64, len(segments))
+    order = np.lexsort((starts, ids))
+    _, first = np.unique(which[order], return_index=True)
+    earliest = order[first]  # of each distinct segment
+    counts = np.fromiter((len(s) - LENGTH + 1 for s in segments), np.int64, len(segments))
+    copy = np.ones(len(segments), bool)
+    copy[earliest] = False
+    out = [(ids[copy], starts[copy], counts[copy])]
+    if len(place) > 1 or counts[earliest].sum() > 1:
+        each = counts[earliest]
+        total = int(each.sum())
+        owner = np.repeat(np.arange(len(place)), each)
+        begin = starts[earliest][owner] + np.arange(total) - np.repeat(np.cumsum(each) - each, each)
+        rank = np.empty(total, np.int64)
+        rank[np.lexsort((begin, ids[earliest][owner]))] = np.arange(total)
+        a, b = _runs(repeats(list(place), rank), owner)
+        out.append((ids[earliest][owner[a]], begin[a], b - a))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def _sort_shards(batches):
+    """Rows (anchor, segment, id, start), sorted by anchor, in; marked runs out. Whole anchors are sorted together, up to SHARD_BYTES at once."""
+    names = ["id", "start", "n"]
+    held: list[list] = [[], [], []]
+    hashes: list[int] = []
+    size = 0
+
+    def work(n):
+        ids, starts, segments = np.array(held[0][:n], np.int64), np.array(held[1][:n], np.int64), held[2][:n]
+        for x in (*held, hashes):
+            del x[:n]
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in _shard(ids, starts, segments)], names=names)
+
+    for b in batches:
+        for part in slices(b, 1, 4096, SHARD_BYTES // 4):
+            h, segments = part.column(0).to_pylist(), part.column(1).to_pylist()
+            hashes += h
+            held[0] += part.column(2).to_pylist()
+            held[1] += part.column(3).to_pylist()
+            held[2] += segments
+            size += sum(map(len, segments))
+            if size >= SHARD_BYTES and hashes[0] != hashes[-1]:
+                n = len(hashes)
+                while hashes[n - 1] == hashes[-1]:
+                    n -= 1
+                yield work(n)
+                size = sum(map(len, held[2]))
+    if hashes:
+        yield work(len(hashes))
+
+
+def _identified(df: DataFrame, ws: Workspace, key: str, text: str) -> DataFrame:
+    """(_id, key, text): _id is unique and orders documents by key, then text. Unique integer keys serve themselves."""
+    rows = df.select(F.col(key), F.col(text).alias("_text"))
+    if df.schema[key].dataType.typeName() in ("long", "integer", "short", "byte"):
+        odd = rows.groupBy(key).agg(F.count("*").alias("_n")).filter((F.col("_n") > 1) | F.col(key).isNull())
+        if not odd.head(1):
+            return rows.select(F.col(key).cast("long").alias("_id"), key, "_text")
+    rows = rows.withColumn("_tie", F.xxhash64("_text"))
+    return ws.save(rows.repartitionByRange(key, "_tie").sortWithinPartitions(key, "_text").select(F.monotonically_increasing_id().alias("_id"), key, "_text"), "documents")
+
+
+def _anchor_table(docs: DataFrame) -> DataFrame:
+    def run(batches):
+        for b in batches:
+            for part in slices(b, 1, 4096, 1 << 20):
+                ids = part.column(0).to_numpy()
+                doc, start, n, h = anchors([(x or "").encode() for x in part.column(1).to_pylist()])
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[doc]), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int16))], names=["h", "_id", "start", "n"])
+
+    return docs.select("_id", "_text").mapInArrow(run, "h long, _id long, start int, n short")
+
+
+def _cut_segments(joined: DataFrame) -> DataFrame:
+    """The bytes of the listed runs of each document."""
+    def run(batches):
+        for b in batches:
+            for part in slices(b, 1, 64):
+                out = [[], [], [], [], []]
+                for i, text, rows in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                    raw = text.encode()
+                    out[0] += [r["h"] for r in rows]
+                    out[1] += [raw[r["start"] : r["start"] + r["n"] + LENGTH - 1] for r in rows]
+                    out[2] += [i] * len(rows)
+                    out[3] += [r["start"] for r in rows]
+                    out[4] += [r["hot"] for r in rows]
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.bool_()), strict=True)], names=["h", "segment", "_id", "start", "hot"])
+
+    return joined.select("_id", "_text", "_runs").mapInArrow(run, "h long, segment binary, _id long, start int, hot boolean")
+
+
+def _hot_runs(segments: DataFrame) -> DataFrame:
+    """Marked strings of hot anchors: identical segments collapse to the earliest, the strings of what is left are grouped by digest."""
+    at = F.struct("_id", "start")
+    named = segments.select("_id", "start", "segment", F.unhex(F.md5("segment")).alias("_name"))
+    first = named.groupBy("_name").agg(F.min(at).alias("_first"))
+    n = F.octet_length("segment").cast("long") - LENGTH + 1
+    judged = named.join(first, "_name").select("_id", "start", "segment", n.alias("n"), (at == F.col("_first")).alias("_own"))
+    copies = judged.filter(~F.col("_own")).select("_id", F.col("start").cast("long").alias("start"), "n")
+    strings = judged.filter("_own").select("_id", "start", "segment", F.explode(F.sequence(F.lit(0), F.col("n").cast("int") - 1)).alias("_j"))
+    strings = strings.select("_id", (F.col("start") + F.col("_j")).cast("long").alias("start"), F.unhex(F.md5(F.substring("segment", F.col("_j") + 1, F.lit(LENGTH)))).alias("_name"))
+    least = strings.groupBy("_name").agg(F.min(at).alias("_first"))
+    later = strings.join(least, "_name").filter(at != F.col("_first")).select("_id", "start", F.lit(1).cast("long").alias("n"))
+    return copies.unionByName(later)
+
+
+def _strip(joined: DataFrame, key: str, schema) -> DataFrame:
+    """Digests of what is left of each document without its marked strings."""
+    def run(batches):
+        for b in batches:
+            for part in slices(b, 1, 256):
+                out = [[], [], [], []]
+                for text, runs in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
+                    raw, spans = (text or "").encode(), 0
+                    kept, end, removed = hashlib.sha256(), 0, 0
+                    for r in sorted((r["start"], r["start"] + r["n"] + LENGTH - 1) for r in runs or ()):
+                        if r[0] > end or not spans:
+                            kept.update(raw[end : r[0]])
+                            spans, end, removed = spans + 1, r[1], removed + r[1] - r[0]
+                        elif r[1] > end:
+                            removed, end = removed + r[1] - end, r[1]
+                    kept.update(raw[end:])
+                    for x, v in zip(out, (len(raw), removed, spans, kept.hexdigest()), strict=True):
+                        x.append(v)
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True))], names=schema.fieldNames())
+
+    return joined.select(key, "_text", "_runs").mapInArrow(run, schema)
+
+
+def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
+    """(key, n_bytes, n_removed, n_spans, kept_sha256): every byte of a 100-byte string that also starts earlier is removed."""
+    ship(df.sparkSession)
+    ws = Workspace(df.sparkSession, "suffixes")
+    docs = _identified(df, ws, key, text)
+    found = ws.save(_anchor_table(docs), "anchors")
+    often = found.groupBy("h").agg(F.count("*").alias("_n")).filter("_n > 1")
+    runs = found.join(often, "h").groupBy("_id").agg(F.collect_list(F.struct("h", "start", "n", (F.col("_n") > hot).alias("hot"))).alias("_runs"))
+    runs = ws.save(runs, "repeated")
+    ws.drop("anchors")
+    ws.sweep()
+    segments = ws.save(_cut_segments(docs.join(runs, "_id")), "segments")
+    ws.drop("repeated")
+    ws.sweep()
+    cold = segments.filter("not hot").repartition("h").sortWithinPartitions("h").select("h", "segment", "_id", "start")
+    marked = cold.mapInArrow(_sort_shards, "id long, start long, n long").withColumnRenamed("id", "_id")
+    if segments.filter("hot").head(1):
+        marked = marked.unionByName(_hot_runs(segments.filter("hot")))
+    marked = ws.save(marked.groupBy("_id").agg(F.collect_list(F.struct("start", "n")).alias("_runs")), "marked")
+    ws.drop("segments")
+    ws.sweep()
+    return _strip(docs.join(marked, "_id", "left"), key, schema_of(docs, [key], "n_bytes long, n_removed long, n_spans long, kept_sha256 string"))

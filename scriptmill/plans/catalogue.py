@@ -1,4 +1,579 @@
-"""Queries over the test tables."""
+"""Queries over the test tables, one or more for each operator, with the same question in DuckDB SQL.
 
-QUERIES: dict = {}
-SQL: dict = {}
+Texts of the tables are in NFKC form already, so SQL needs no such step.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from scriptmill.functions import similarity, text, timing
+from scriptmill.operators import checks, phrases, prepare, report, terms, verify
+from scriptmill.plans import engine
+from scriptmill.runtime import table
+from scriptmill.schema import SEVERITIES
+from scriptmill.sources import adapters, transcripts
+from scriptmill.sources.glossary import Glossary, Term
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+
+#: Words and phrases that the test tables hold.
+GLOSSARY = Glossary(
+    (Term("of_the", "of the", "core"), Term("the", "the", "structure"), Term("that_is", "that is", "core", ("that was",)), Term("and_the", "and the", "pattern", ("and a",)), Term("to_be", "to be", "market"), Term("bolt", "large bolt", "pattern", ("small bolt",)), Term("widget", "cold widget", "structure")),
+    (("from", "form", ""), ("erin", "arin", "")),
+    (("ther", "the"), ("thing", "and"), ("eren", "was"), ("this", "the")),
+    frozenset({"the", "and", "was", "this"}) - {"the", "and", "was", "this"},
+)
+REFERENCE_S = 2400.0
+
+
+def query(name: str, sql: str | None = None):
+    def add(f):
+        QUERIES[name] = f
+        if sql is not None:
+            SQL[name] = sql
+        return f
+
+    return add
+
+
+# --- SQL fragments ---------------------------------------------------------
+
+_WS = r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+
+
+def _sql_visible(x: str) -> str:
+    """No-break spaces as spaces, invisible characters gone."""
+    return f"translate({x}, chr(160) || chr(8203) || chr(8204) || chr(8205) || chr(8288) || chr(65279), ' ')"
+
+
+def _sql_collapse(x: str) -> str:
+    return f"trim(regexp_replace({x}, '[{_WS}]+', ' ', 'g'))"
+
+
+def _sql_key(x: str) -> str:
+    return f"trim(regexp_replace(lower({_sql_visible(x)}), '[^\\p{{L}}\\p{{N}}_]+', ' ', 'g'))"
+
+
+def _sql_tokens(x: str) -> str:
+    return f"list_filter(string_split({_sql_key(x)}, ' '), lambda w: w <> '')"
+
+
+def _sql_clean(x: str) -> str:
+    y = _sql_collapse(_sql_visible(x))
+    y = rf"regexp_replace({y}, '[{_WS}]+([,.;:!?%…])', '\1', 'g')"
+    y = rf"regexp_replace({y}, ' ([)\]}}])', '\1', 'g')"
+    y = rf"regexp_replace({y}, '([(\[{{]) ', '\1', 'g')"
+    # no look-ahead: mark every place, then take the mark off where white space or a digit follows
+    y = rf"regexp_replace({y}, '([,;:])', '\1' || chr(1), 'g')"
+    y = rf"regexp_replace({y}, chr(1) || '([{_WS}\p{{Nd}}]|$)', '\1', 'g')"
+    y = f"replace({y}, chr(1), ' ')"
+    return _sql_collapse(rf"regexp_replace({y}, '\.{{3,}}', '…', 'g')")
+
+
+_DOCS = "SELECT doc_id::VARCHAR AS transcript_id, coalesce(text, '') AS text FROM documents"
+_SEG = """seg AS (SELECT l_orderkey::VARCHAR AS transcript_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS idx,
+  l_linenumber::VARCHAR AS line, p_name AS text, date_diff('day', DATE '1992-01-01', l_shipdate::DATE)::DOUBLE AS s, date_diff('day', DATE '1992-01-01', l_shipdate::DATE)::DOUBLE + l_quantity::DOUBLE AS e FROM lineitem JOIN part ON l_partkey = p_partkey)"""
+_EV = """ev AS (SELECT user_id::VARCHAR AS transcript_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS idx, event_id::VARCHAR AS key, event_type AS text,
+  epoch_us(ts) / 1e6 AS s, epoch_us(ts) / 1e6 + value * 100 AS e FROM events)"""
+_CONV = "conv AS (SELECT conv_id::VARCHAR AS transcript_id, turn AS idx, coalesce(text, '') AS text FROM conversations)"
+
+_NOISY = "replace(replace(replace(text, ',', ' ,'), 'the', '( the )'), '. ', ' ...  ')"
+
+
+def _noisy(c: Column) -> Column:
+    """Text with the blemishes that cleaning removes."""
+    for a, b in ((",", " ,"), ("the", "( the )"), (". ", " ...  ")):
+        c = F.replace(c, F.lit(a), F.lit(b))
+    return c
+
+
+# --- text ------------------------------------------------------------------
+
+@query("clean_text", f"SELECT transcript_id, {_sql_clean(_NOISY)} AS cleaned FROM ({_DOCS})")
+def _(spark, sf):
+    return adapters.tx_documents(spark, sf).select("transcript_id", text.clean_text(_noisy(F.col("text"))).alias("cleaned"))
+
+
+@query("normalize_whitespace", f"SELECT transcript_id, {_sql_collapse(_sql_visible('text'))} AS plain FROM ({_DOCS})")
+def _(spark, sf):
+    return adapters.tx_documents(spark, sf).select("transcript_id", text.normalize_whitespace("text").alias("plain"))
+
+
+@query("comparison_key", f"SELECT transcript_id, {_sql_key('text')} AS norm FROM ({_DOCS})")
+def _(spark, sf):
+    return adapters.tx_documents(spark, sf).select("transcript_id", text.comparison_key("text").alias("norm"))
+
+
+@query("word_counts", f"SELECT transcript_id, len({_sql_tokens('text')})::BIGINT AS n_words, len(list_distinct({_sql_tokens('text')}))::BIGINT AS n_distinct FROM ({_DOCS})")
+def _(spark, sf):
+    t = adapters.tx_documents(spark, sf).select("transcript_id", text.word_tokens("text").alias("t"))
+    return t.select("transcript_id", F.size("t").cast("long").alias("n_words"), F.size(F.array_distinct("t")).cast("long").alias("n_distinct"))
+
+
+@query("words_changed", f"""WITH d AS ({_DOCS}), a AS (SELECT DISTINCT transcript_id, unnest({_sql_tokens('text')}) AS w FROM d), b AS (SELECT DISTINCT transcript_id, unnest({_sql_tokens("replace(replace(text, 'er', 'ER'), ', ', 'x, ')")}) AS w FROM d),
+n AS (SELECT b.transcript_id, string_agg(b.w, ',' ORDER BY b.w) AS new_words FROM b ANTI JOIN a ON a.transcript_id = b.transcript_id AND a.w = b.w GROUP BY 1) SELECT transcript_id, coalesce(new_words, '') AS new_words FROM d LEFT JOIN n USING (transcript_id)""")
+def _(spark, sf):
+    d = adapters.tx_documents(spark, sf)
+    noisy = F.replace(F.replace("text", F.lit("er"), F.lit("ER")), F.lit(", "), F.lit("x, "))
+    return d.select("transcript_id", F.array_join(text.words_changed("text", noisy), ",").alias("new_words"))
+
+
+@query("redact_secrets", r"SELECT transcript_id, regexp_replace(replace(replace(text, 'token', 'sk_0123456789abcdefXYZ'), 'the', '***REDACTED***'), '\b(?:gsk_|sk_)[A-Za-z0-9_\-]{16,}', '***REDACTED***', 'g') AS scrubbed FROM (" + _DOCS + ")")
+def _(spark, sf):
+    d = adapters.tx_documents(spark, sf).select("transcript_id", F.replace("text", F.lit("token"), F.lit("sk_0123456789abcdefXYZ")).alias("text"))
+    return d.select("transcript_id", text.redact("text", ("the",)).alias("scrubbed"))
+
+
+@query("segment_join_text", f"WITH {_CONV}, c AS (SELECT transcript_id, idx, {_sql_clean('text')} AS t FROM conv) SELECT transcript_id, regexp_replace(coalesce(string_agg(t, ' ' ORDER BY idx) FILTER (t <> ''), ''), '[{_WS}]+([,.;:!?])', '\\1', 'g') AS joined FROM c GROUP BY 1")
+def _(spark, sf):
+    return checks.joined_segments(transcripts.bind(adapters.seg_conversations(spark, sf))).select("transcript_id", "joined")
+
+
+_PAIRS = "w AS (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS w FROM part), p AS (SELECT a.w AS a, b.w || x AS b FROM w a, w b, (VALUES (''), ('s')) v(x)), q AS (SELECT a, b FROM p UNION SELECT w AS a, substr(w, 2, 1) || substr(w, 1, 1) || substr(w, 3) AS b FROM w)"
+
+
+def _pairs(spark, sf):
+    w = table(spark, sf, "part", "p_name").select(F.explode(F.split("p_name", " ")).alias("w")).distinct()
+    p = w.select(F.col("w").alias("a")).join(w.select(F.col("w").alias("_w"))).select("a", F.explode(F.array(F.col("_w"), F.concat("_w", F.lit("s")))).alias("b"))
+    swapped = w.select(F.col("w").alias("a"), F.concat(F.substring("w", 2, 1), F.substring("w", 1, 1), F.substring("w", 3, 99)).alias("b"))
+    return p.union(swapped).distinct()
+
+
+@query("edit_distance_pairs", f"WITH {_PAIRS} SELECT a, b, CASE WHEN damerau_levenshtein(a, b) <= 1 THEN damerau_levenshtein(a, b)::INTEGER END AS one, CASE WHEN damerau_levenshtein(a, b) <= 2 THEN damerau_levenshtein(a, b)::INTEGER END AS two FROM q")
+def _(spark, sf):
+    return _pairs(spark, sf).select("a", "b", text.bounded_edit_distance("a", "b", 1).alias("one"), text.bounded_edit_distance("a", "b", 2).alias("two"))
+
+
+@query("substring_counts", f"SELECT transcript_id, phrase, CASE WHEN phrase = '' OR k = '' THEN 0 ELSE (length(k) - length(replace(k, phrase, ''))) // length(phrase) END::BIGINT AS n FROM (SELECT transcript_id, {_sql_key('text')} AS k FROM ({_DOCS})), (VALUES ('of the'), ('th'), ('la'), ('')) v(phrase)")
+def _(spark, sf):
+    d = adapters.tx_documents(spark, sf).select("transcript_id", text.comparison_key("text").alias("k"), F.explode(F.array(*map(F.lit, ("of the", "th", "la", "")))).alias("phrase"))
+    return d.select("transcript_id", "phrase", text.count_occurrences("k", "phrase").alias("n"))
+
+
+@query("similarity_ratio")
+def _(spark, sf):
+    """Neighbouring turns of a conversation."""
+    s = adapters.seg_conversations(spark, sf)
+    nxt = s.select("transcript_id", (F.col("idx") - 1).alias("idx"), F.col("text").alias("next_text"))
+    return s.join(nxt, ["transcript_id", "idx"]).select("transcript_id", "idx", similarity.similarity(F.col("text"), F.col("next_text")).alias("ratio"))
+
+
+# --- numbers and times -----------------------------------------------------
+
+_TIMES = [("7", "number"), ("0.0", "string"), (" 7.5 ", "string"), ("-2", "number"), ("nope", "string"), ("", "string"), ("true", "other"), ("[1,2]", "other"), (None, "other"), ("NaN", "number"), ("nan", "string"), ("inf", "string"), ("Infinity", "number"), ("1e3", "number"), ("7.0d", "string")]
+
+
+@query("parse_timestamps", "SELECT raw, kind, value, valid FROM (VALUES ('7','number',7.0::DOUBLE,true),('0.0','string',0.0,true),(' 7.5 ','string',7.5,true),('-2','number',-2.0,false),('nope','string',NULL,false),('','string',NULL,false),('true','other',NULL,false),('[1,2]','other',NULL,false),(NULL,'other',NULL,false),('NaN','number',NULL,false),('nan','string',NULL,false),('inf','string','inf'::DOUBLE,true),('Infinity','number',NULL,false),('1e3','number',1000.0,true),('7.0d','string',NULL,false)) t(raw, kind, value, valid)")
+def _(spark, sf):
+    return spark.createDataFrame(_TIMES, "raw string, kind string").select("raw", "kind", timing.parse_timestamp("raw", "kind").alias("t")).select("raw", "kind", "t.value", "t.valid")
+
+
+@query("segment_durations", f"WITH {_EV} SELECT transcript_id, idx::INTEGER AS idx, CASE WHEN e >= s THEN e - s END AS duration, greatest(0, e - s) AS prepared FROM ev")
+def _(spark, sf):
+    return adapters.seg_events(spark, sf).select("transcript_id", "idx", timing.duration("start", "end").alias("duration"), timing.prepared_duration("start", "end").alias("prepared"))
+
+
+@query("median_durations", f"WITH {_SEG} SELECT transcript_id, median(e - s) AS median_s, count(*) AS n FROM seg GROUP BY 1")
+def _(spark, sf):
+    return adapters.seg_lineitem(spark, sf).withColumn("d", timing.duration("start", "end")).groupBy("transcript_id").agg(F.median("d").alias("median_s"), F.count("*").alias("n"))
+
+
+@query("reference_duration", "SELECT o_orderkey, coalesce(nullif(CASE WHEN o_orderkey % 3 = 0 THEN 0 WHEN o_orderkey % 3 = 1 THEN NULL ELSE o_orderkey END::DOUBLE, 0), 5.0) AS reference_s FROM orders")
+def _(spark, sf):
+    k = F.col("o_orderkey")
+    return table(spark, sf, "orders", "o_orderkey").select("o_orderkey", timing.reference_duration(F.when(k % 3 == 0, 0.0).when(k % 3 == 2, k.cast("double")), F.lit(5.0)).alias("reference_s"))
+
+
+# --- checks on timing ------------------------------------------------------
+
+def _timing(spark, sf) -> DataFrame:
+    seg = adapters.seg_lineitem(spark, sf, "idx").withColumn("reference_s", F.lit(REFERENCE_S))
+    return checks.segment_checks(transcripts.bind(seg, compatibility=False))
+
+
+def _of(kind: str, *fields: str):
+    def f(spark, sf):
+        found = _timing(spark, sf).filter(F.col("type") == kind)
+        return found.select("transcript_id", F.array_join("segment_ids", ",").alias("ids"), "severity", *fields)
+
+    return f
+
+
+_T = f"{_SEG}, t AS (SELECT *, lag(s) OVER w AS ps, lag(e) OVER w AS pe, median(e - s) OVER (PARTITION BY transcript_id) AS med, min(idx) OVER (PARTITION BY transcript_id) AS lo, max(idx) OVER (PARTITION BY transcript_id) AS hi FROM seg WINDOW w AS (PARTITION BY transcript_id ORDER BY idx))"
+_PAIR, _SELF = "(idx - 1)::VARCHAR || ',' || idx::VARCHAR", "idx::VARCHAR"
+for _name, _kind, _ids, _sev, _a, _b, _where in (
+    ("gaps", "segment_gap", _PAIR, "low", "pe", "s", "s - pe > 1.5"),
+    ("overlaps", "segment_overlap", _PAIR, "medium", "s", "pe", "s - pe < -0.15"),
+    ("bounds", "segment_timestamp_out_of_bounds", _SELF, "high", "s", "e", f"s > {REFERENCE_S} + 0.5 OR e > {REFERENCE_S} + 0.5"),
+    ("coverage_start", "incomplete_speech_at_start", _SELF, "medium", "0.0::DOUBLE", "s", "idx = lo AND s > 1.0"),
+    ("coverage_end", "incomplete_speech_at_end", _SELF, "medium", "e", f"{REFERENCE_S}::DOUBLE", f"idx = hi AND {REFERENCE_S} - e > 2.0"),
+    ("long_segments", "segment_suspiciously_long", _SELF, "medium", "s", "e", "e - s > greatest(10.0, 2 * med)"),
+):
+    QUERIES[_name] = _of(_kind, "range_start", "range_end")
+    SQL[_name] = f"WITH {_T} SELECT transcript_id, {_ids} AS ids, '{_sev}' AS severity, {_a} AS range_start, {_b} AS range_end FROM t WHERE {_where}"
+QUERIES["out_of_order"] = _of("segment_out_of_order")
+SQL["out_of_order"] = f"WITH {_T} SELECT transcript_id, {_PAIR} AS ids, 'high' AS severity FROM t WHERE s < ps"
+
+
+def _odd(spark, sf) -> DataFrame:
+    """Events with broken times: every fifth ends before its start, every seventh has no start, every eleventh is very short, every thirteenth blank."""
+    s, e, k = F.col("start"), F.col("end"), F.col("key").cast("long")
+    seg = adapters.seg_events(spark, sf)
+    seg = seg.select("transcript_id", "idx", "key", F.when(k % 13 == 0, " ​ ").otherwise(F.col("text")).alias("text"), F.when(k % 7 != 0, s).alias("_s"), F.when(k % 5 == 0, s - 1).when(k % 11 == 0, s + 0.125).otherwise(F.floor(s) + 5).alias("_e"))
+    seg = transcripts.segment_table(seg.withColumn("_s", F.when(k % 5 == 0, F.col("_s")).when(k % 11 == 0, F.col("_s")).otherwise(F.floor("_s"))), F.col("_s"), F.col("_e"))
+    return checks.segment_checks(transcripts.bind(seg.withColumn("reference_s", F.lit(None).cast("double")), compatibility=False))
+
+
+_ODD = f"{_EV}, o AS (SELECT transcript_id, idx, key, CASE WHEN key::BIGINT % 7 <> 0 THEN CASE WHEN key::BIGINT % 5 = 0 OR key::BIGINT % 11 = 0 THEN s ELSE floor(s) END END AS s, CASE WHEN key::BIGINT % 5 = 0 THEN s - 1 WHEN key::BIGINT % 11 = 0 THEN s + 0.125 ELSE floor(s) + 5 END AS e FROM ev)"
+for _name, _kind, _sev, _where in (
+    ("invalid_timestamps", "invalid_timestamp", "high", "s IS NULL"),
+    ("end_before_start", "segment_end_before_start", "critical", "e <= s"),
+    ("short_segments", "segment_suspiciously_short", "low", "e >= s AND e - s < 0.2"),
+    ("empty_segments", "empty_segment", "medium", "key::BIGINT % 13 = 0"),
+):
+    QUERIES[_name] = (lambda kind: lambda spark, sf: _odd(spark, sf).filter(F.col("type") == kind).select("transcript_id", F.array_join("segment_ids", ",").alias("ids"), "severity"))(_kind)
+    SQL[_name] = f"WITH {_ODD} SELECT transcript_id, key AS ids, '{_sev}' AS severity FROM o WHERE {_where}"
+
+
+@query("no_segments", f"WITH {_CONV} SELECT transcript_id, CASE WHEN t = '' THEN 'critical' ELSE 'high' END AS severity FROM (SELECT doc_id::VARCHAR AS transcript_id, CASE WHEN doc_id % 4 = 0 THEN '' ELSE trim(coalesce(text, '')) END AS t FROM documents) d WHERE NOT EXISTS (SELECT 1 FROM conv c WHERE c.transcript_id = d.transcript_id)")
+def _(spark, sf):
+    d = adapters.tx_documents(spark, sf).withColumn("text", F.when(F.col("transcript_id").cast("long") % 4 == 0, "").otherwise(F.col("text")))
+    return checks.structure_check(d, adapters.seg_conversations(spark, sf)).select("transcript_id", "severity")
+
+
+@query("has_timestamps", f"WITH {_EV} SELECT transcript_id, bool_or(key::BIGINT % 2 = 0) AS has_timestamps FROM ev GROUP BY 1")
+def _(spark, sf):
+    s = adapters.seg_events(spark, sf)
+    return transcripts.has_timestamps(s.withColumn("start", F.when(F.col("key").cast("long") % 2 == 0, F.col("start"))))
+
+
+# --- duplicates ------------------------------------------------------------
+
+def _groups(spark, sf, key) -> DataFrame:
+    return checks.duplicate_groups(transcripts.bind(adapters.seg_lineitem(spark, sf, key), compatibility=False))
+
+
+@query("duplicate_groups", f"WITH {_SEG} SELECT transcript_id, {_sql_key('text')} AS normalized_text, string_agg(idx::VARCHAR, ',' ORDER BY idx) AS ids, count(*)::INTEGER AS size, min(s) AS range_start, max(e) AS range_end, max(idx) - min(idx) = count(*) - 1 AS adjacent FROM seg GROUP BY 1, 2 HAVING count(*) > 1")
+def _(spark, sf):
+    return _groups(spark, sf, "idx").select("transcript_id", "normalized_text", F.array_join("segment_ids", ",").alias("ids"), "size", "range_start", "range_end", "adjacent")
+
+
+_COLL = f"""{_SEG}, k AS (SELECT *, {_sql_key('text')} AS norm FROM seg),
+l AS (SELECT transcript_id, line, max(idx) AS li, arg_max(norm, idx) AS ln, arg_max(s, idx) AS ls, arg_max(e, idx) AS le, count(DISTINCT norm) AS kinds FROM k GROUP BY 1, 2),
+g AS (SELECT k.transcript_id, k.norm, string_agg(k.line, ',' ORDER BY k.idx) AS ids, count(*) AS n, min(k.idx) AS first_idx, bool_and(kinds = 1) AND count(DISTINCT ln) = 1 AS same,
+  count(DISTINCT li) = count(*) AND max(li) - min(li) = count(*) - 1 AS adjacent, min(ls) AS rs, max(le) AS re, min(le - ls) AS lo, max(le - ls) AS hi FROM k JOIN l USING (transcript_id, line) GROUP BY 1, 2 HAVING count(*) > 1)"""
+
+
+@query("duplicate_findings", f"WITH {_COLL} SELECT transcript_id, ids, CASE WHEN same THEN 'exact_duplicate_segment' ELSE 'near_duplicate_segment' END AS type, CASE WHEN same AND adjacent THEN 'high' ELSE 'medium' END AS severity, rs AS range_start, re AS range_end FROM g")
+def _(spark, sf):
+    f = checks.duplicate_checks(_groups(spark, sf, "l_linenumber"), compatibility=False).filter("type <> 'duplicate_segment_duration_mismatch'")
+    return f.select("transcript_id", F.array_join("segment_ids", ",").alias("ids"), "type", "severity", "range_start", "range_end")
+
+
+@query("duration_mismatch", f"WITH {_COLL} SELECT transcript_id, ids, 'high' AS severity, lo AS shortest, hi AS longest FROM g WHERE same AND lo > 0 AND hi / lo >= 2")
+def _(spark, sf):
+    f = checks.duplicate_checks(_groups(spark, sf, "l_linenumber"), compatibility=False).filter("type = 'duplicate_segment_duration_mismatch'")
+    return f.select("transcript_id", F.array_join("segment_ids", ",").alias("ids"), "severity", F.col("evidence")["shortest_seconds"].cast("double").alias("shortest"), F.col("evidence")["longest_seconds"].cast("double").alias("longest"))
+
+
+@query("cross_document_duplicates", f"WITH d AS (SELECT source AS transcript_id, doc_id, {_sql_key('text')} AS norm FROM documents) SELECT transcript_id, sha256(norm) AS digest, string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) AS ids FROM d WHERE norm <> '' GROUP BY 1, norm, 2 HAVING count(*) > 1")
+def _(spark, sf):
+    """Documents of a source with the same key: grouped by digest, so that texts are not shuffled."""
+    d = table(spark, sf, "documents", "doc_id", "source", "text").select(F.col("source").alias("transcript_id"), "doc_id", text.comparison_key("text").alias("norm"))
+    g = d.filter("norm <> ''").select("transcript_id", "doc_id", F.sha2("norm", 256).alias("digest")).groupBy("transcript_id", "digest").agg(F.array_sort(F.collect_list("doc_id")).alias("ids"))
+    return g.filter(F.size("ids") > 1).select("transcript_id", "digest", F.array_join(F.transform("ids", lambda x: x.cast("string")), ",").alias("ids"))
+
+
+@query("transcript_mismatch")
+def _(spark, sf):
+    """Conversations against their turns, every third without its first turn."""
+    s = adapters.seg_conversations(spark, sf).filter("NOT (idx = 0 AND cast(transcript_id AS bigint) % 3 = 0)")
+    return checks.consistency_check(adapters.tx_conversations(spark, sf), transcripts.bind(s)).select("transcript_id", "type", "severity")
+
+
+# --- phrases ---------------------------------------------------------------
+
+@query("repeated_ngrams", f"WITH d AS (SELECT transcript_id, {_sql_tokens('text')} AS t FROM ({_DOCS})), g AS (SELECT transcript_id, array_to_string(list_slice(t, i, i + 5), ' ') AS ngram FROM (SELECT transcript_id, t, unnest(range(1, len(t) - 4)) AS i FROM d)) SELECT transcript_id, ngram, count(*) AS occurrences FROM g GROUP BY 1, 2 HAVING count(*) > 1")
+def _(spark, sf):
+    return phrases.seeds(adapters.tx_documents(spark, sf))
+
+
+@query("repeated_phrases")
+def _(spark, sf):
+    return phrases.find_phrases(adapters.tx_documents(spark, sf)).select("transcript_id", "phrase_seq", "phrase", "word_count", "occurrences", F.array_join("positions", ",").alias("positions"))
+
+
+_RANGES = f"{_CONV}, n AS (SELECT transcript_id, idx, len({_sql_tokens('text')}) AS n FROM conv), r AS (SELECT transcript_id, idx, coalesce(sum(n) OVER (PARTITION BY transcript_id ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS first_word, n FROM n)"
+
+
+@query("word_offsets", f"WITH {_RANGES} SELECT transcript_id, idx::INTEGER AS idx, first_word, first_word + n AS past_word FROM r")
+def _(spark, sf):
+    return checks.word_ranges(transcripts.bind(adapters.seg_conversations(spark, sf))).select("transcript_id", "idx", F.col("first_word").cast("long").alias("first_word"), F.col("past_word").cast("long").alias("past_word"))
+
+
+@query("position_to_segment", f"WITH {_RANGES} SELECT transcript_id, pos::INTEGER AS pos, idx::VARCHAR AS key FROM r, (VALUES (0), (50), (100), (400), (1000)) v(pos) WHERE pos >= first_word AND pos < first_word + n")
+def _(spark, sf):
+    b = transcripts.bind(adapters.seg_conversations(spark, sf))
+    at = b.select("transcript_id").distinct().select("transcript_id", F.explode(F.array(*map(F.lit, (0, 50, 100, 400, 1000)))).alias("pos"))
+    return checks.segments_at(at, b)
+
+
+# --- glossary --------------------------------------------------------------
+
+_TERMS = r"'(?i)(?:^|[^\p{L}\p{N}_])(cold\s+widget|large\s+bolt|small\s+bolt|that\s+was|that\s+is|and\s+the|of\s+the|and\s+a|to\s+be|the)(?:$|[^\p{L}\p{N}_])'"
+
+
+def _sql_matches(x: str) -> str:
+    """Whole-word matches; doubling the separators keeps neighbouring matches apart, since the pattern consumes one on each side."""
+    spaced = rf"regexp_replace({x}, '([^\p{{L}}\p{{N}}_])', '\1\1', 'g')"
+    pattern = _TERMS.replace(r"\s+", r"\s\s")
+    return f"list_transform(regexp_extract_all({spaced}, {pattern}, 1), lambda m: regexp_replace(lower(m), '\\s+', '_'))"
+
+
+_TERM_ID = "CASE m WHEN 'that_was' THEN 'that_is' WHEN 'and_a' THEN 'and_the' WHEN 'large_bolt' THEN 'bolt' WHEN 'small_bolt' THEN 'bolt' WHEN 'cold_widget' THEN 'widget' ELSE m END"
+
+
+@query("term_matches", f"WITH d AS (SELECT transcript_id, unnest({_sql_matches('text')}) AS m FROM ({_DOCS})) SELECT transcript_id, {_TERM_ID} AS term_id, count(*) AS n FROM d GROUP BY 1, 2")
+def _(spark, sf):
+    d = adapters.tx_documents(spark, sf).select("transcript_id", F.explode(terms.match_ids("text", GLOSSARY)).alias("term_id"))
+    return d.groupBy("transcript_id", "term_id").agg(F.count("*").alias("n"))
+
+
+@query("term_ids", f"WITH d AS (SELECT transcript_id, {_sql_matches('text')} AS l FROM ({_DOCS})), u AS (SELECT transcript_id, unnest(l) AS m, generate_subscripts(l, 1) AS i FROM d), f AS (SELECT transcript_id, {_TERM_ID} AS t, min(i) AS i FROM u GROUP BY 1, 2) SELECT transcript_id, string_agg(t, ',' ORDER BY i) AS ids FROM f GROUP BY 1")
+def _(spark, sf):
+    d = adapters.tx_documents(spark, sf).select("transcript_id", terms.term_ids("text", GLOSSARY).alias("t"))
+    return d.filter(F.size("t") > 0).select("transcript_id", F.array_join("t", ",").alias("ids"))
+
+
+@query("term_segments", f"WITH {_SEG} SELECT transcript_id, string_agg(idx::VARCHAR, ',' ORDER BY idx) AS ids, 'info' AS severity FROM seg WHERE text IN ('cold widget', 'large bolt', 'small bolt') GROUP BY 1")
+def _(spark, sf):
+    b = transcripts.bind(adapters.seg_lineitem(spark, sf, "idx"), compatibility=False)
+    return checks.term_checks(adapters.tx_lineitem(b), b, GLOSSARY).select("transcript_id", F.array_join("segment_ids", ",").alias("ids"), "severity")
+
+
+@query("term_offsets")
+def _(spark, sf):
+    d = adapters.tx_documents(spark, sf).select("transcript_id", F.explode(terms.term_offsets("text", GLOSSARY)).alias("m"))
+    return d.select("transcript_id", "m.term_id", "m.start_char", "m.end_char")
+
+
+@query("anchors", "SELECT * FROM (VALUES ('that', 'was'), ('ther', 'the'), ('thing', 'and'), ('eren', 'was'), ('this', 'the'), ('large', 'bolt'), ('cold', 'widget')) t(first, second) WHERE first <> 'that'")
+def _(spark, sf):
+    return GLOSSARY.anchors_df(spark).select("first", "second")
+
+
+@query("vocabulary", "SELECT unnest(['of','the','that','is','was','and','a','to','be','large','small','bolt','cold','widget']) AS word")
+def _(spark, sf):
+    return GLOSSARY.terms_df(spark).select(F.explode(F.concat(F.array("canonical"), F.col("aliases"))).alias("s")).select(F.explode(text.word_tokens("s")).alias("word")).distinct()
+
+
+@query("glossary_summary", "SELECT 7::BIGINT AS term_count, 'core,market,pattern,structure' AS categories, 3::BIGINT AS ambiguous, 0::BIGINT AS kept")
+def _(spark, sf):
+    return GLOSSARY.terms_df(spark).agg(F.count("*").alias("term_count"), F.array_join(F.array_sort(F.collect_set("category")), ",").alias("categories"), F.count_if("ambiguous").alias("ambiguous"), F.count_if("speak_original").alias("kept"))
+
+
+_TOK = f"tk AS (SELECT transcript_id, {_sql_tokens('text')} AS t FROM ({_DOCS})), p AS (SELECT transcript_id, t, unnest(t) AS w, generate_subscripts(t, 1) AS i FROM tk)"
+
+
+@query("confusables_known", f"WITH {_TOK}, h AS (SELECT transcript_id, w, min(i) AS i, arg_min(t, i) AS t FROM p WHERE w IN ('from', 'erin') GROUP BY 1, 2) SELECT transcript_id, w AS word, CASE w WHEN 'from' THEN 'form' ELSE 'arin' END AS suspected_word, (i - 1)::INTEGER AS position, array_to_string(list_slice(t, greatest(i - 2, 1), i + 2), ' ') AS context FROM h")
+def _(spark, sf):
+    return terms.find_confusables(adapters.tx_documents(spark, sf), GLOSSARY).filter("source = 'known_confusion'").drop("distance", "source")
+
+
+@query("confusables_anchored", f"""WITH {_TOK}, b AS (SELECT transcript_id, w, t[i + 1] AS nx, i FROM p WHERE length(w) >= 4 AND w NOT IN ('of','the','that','is','was','and','a','to','be','large','small','bolt','cold','widget')),
+a(f, s) AS (VALUES ('ther', 'the'), ('thing', 'and'), ('eren', 'was'), ('this', 'the'), ('large', 'bolt'), ('cold', 'widget')),
+h AS (SELECT transcript_id, w, f, min(i) AS i FROM b JOIN a ON nx = s WHERE damerau_levenshtein(w, f) = 1 GROUP BY 1, 2, 3)
+SELECT transcript_id, w AS word, f AS suspected_word, (i - 1)::INTEGER AS position FROM h WHERE NOT ((w, f) IN (('from', 'form'), ('erin', 'arin')))""")
+def _(spark, sf):
+    return terms.find_confusables(adapters.tx_documents(spark, sf), GLOSSARY).filter("source = 'anchored_edit'").select("transcript_id", "word", "suspected_word", "position")
+
+
+@query("confusable_findings")
+def _(spark, sf):
+    b = transcripts.bind(adapters.seg_conversations(spark, sf))
+    f = checks.confusable_checks(adapters.tx_conversations(spark, sf), b, GLOSSARY)
+    return f.select("transcript_id", F.array_join("segment_ids", ",").alias("ids"), F.col("evidence")["word"].alias("word"), F.col("evidence")["suspected_word"].alias("suspected_word"))
+
+
+@query("confusion_summary", f"WITH {_TOK} SELECT transcript_id, w AS word, count(*) AS occurrences FROM p WHERE w IN ('from', 'erin') GROUP BY 1, 2")
+def _(spark, sf):
+    g = Glossary(GLOSSARY.terms, GLOSSARY.confusions)
+    return terms.confusion_summary(adapters.tx_documents(spark, sf), g).filter("source = 'known_confusion'").select("transcript_id", "word", "occurrences")
+
+
+# --- report ----------------------------------------------------------------
+
+def _findings(spark, sf) -> DataFrame:
+    """Timing and duplicate findings of all orders from one scan."""
+    seg = transcripts.bind(adapters.seg_lineitem(spark, sf, "idx").withColumn("reference_s", F.lit(REFERENCE_S)), compatibility=False)
+    return checks.segment_checks(seg).unionByName(checks.duplicate_checks(checks.duplicate_groups(seg), compatibility=False))
+
+
+_F = f"""{_T}, d AS (SELECT transcript_id, text, min(idx) AS first_idx, string_agg(idx::VARCHAR, ',' ORDER BY idx) AS ids, list(idx) AS members, max(idx) - min(idx) = count(*) - 1 AS adjacent, min(s) AS rs, max(e) AS re, min(e - s) AS lo, max(e - s) AS hi FROM seg GROUP BY 1, 2 HAVING count(*) > 1),
+f AS (
+SELECT transcript_id, 4 AS cs, idx AS es, 'segment_out_of_order' AS type, 'high' AS severity, 1 AS rank, [idx - 1, idx] AS m, NULL::DOUBLE AS rs FROM t WHERE s < ps
+UNION ALL SELECT transcript_id, 5, idx, 'segment_gap', 'low', 3, [idx - 1, idx], pe FROM t WHERE s - pe > 1.5
+UNION ALL SELECT transcript_id, 5, idx, 'segment_overlap', 'medium', 2, [idx - 1, idx], s FROM t WHERE s - pe < -0.15
+UNION ALL SELECT transcript_id, 6, idx, 'segment_timestamp_out_of_bounds', 'high', 1, [idx], s FROM t WHERE e > {REFERENCE_S} + 0.5
+UNION ALL SELECT transcript_id, 7, 0, 'incomplete_speech_at_start', 'medium', 2, [idx], 0 FROM t WHERE idx = lo AND s > 1
+UNION ALL SELECT transcript_id, 7, 1, 'incomplete_speech_at_end', 'medium', 2, [idx], e FROM t WHERE idx = hi AND {REFERENCE_S} - e > 2
+UNION ALL SELECT transcript_id, 8, idx, 'segment_suspiciously_long', 'medium', 2, [idx], s FROM t WHERE e - s > greatest(10.0, 2 * med)
+UNION ALL SELECT transcript_id, 10, first_idx * 2, 'exact_duplicate_segment', CASE WHEN adjacent THEN 'high' ELSE 'medium' END, CASE WHEN adjacent THEN 1 ELSE 2 END, members, rs FROM d
+UNION ALL SELECT transcript_id, 10, first_idx * 2 + 1, 'duplicate_segment_duration_mismatch', 'high', 1, members, rs FROM d WHERE lo > 0 AND hi / lo >= 2)"""
+
+
+@query("severity_counts", f"WITH {_F} SELECT transcript_id, " + ", ".join(f"count(*) FILTER (severity = '{s}') AS {s}" for s in SEVERITIES) + " FROM f GROUP BY 1")
+def _(spark, sf):
+    return report.severity_counts(_findings(spark, sf))
+
+
+@query("type_counts", f"WITH {_F}, c AS (SELECT transcript_id, type, count(*) AS n FROM f GROUP BY 1, 2) SELECT transcript_id, string_agg(type || '=' || n::VARCHAR, ',' ORDER BY type) AS by_type FROM c GROUP BY 1")
+def _(spark, sf):
+    t = report.type_counts(_findings(spark, sf))
+    return t.select("transcript_id", F.array_join(F.transform(F.map_entries("by_type"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",").alias("by_type"))
+
+
+@query("report_summary", f"WITH {_F} SELECT s.transcript_id, count(type) AS total_findings, " + ", ".join(f"count(*) FILTER (severity = '{s}') AS {s}" for s in SEVERITIES) + ", arg_min(severity, rank) AS max_severity, coalesce(bool_or(rank <= 2), false) AS needs_review FROM (SELECT DISTINCT transcript_id FROM seg) s LEFT JOIN f USING (transcript_id) GROUP BY 1")
+def _(spark, sf):
+    return report.summary(adapters.seg_lineitem(spark, sf, "idx").select("transcript_id").distinct(), _findings(spark, sf))
+
+
+@query("segment_flags", f"WITH {_F}, u AS (SELECT DISTINCT transcript_id, type, unnest(m) AS i FROM f) SELECT transcript_id, i::VARCHAR AS key, string_agg(type, ',' ORDER BY type) AS flags FROM u GROUP BY 1, 2")
+def _(spark, sf):
+    return report.segment_flags(_findings(spark, sf)).select("transcript_id", "key", F.array_join("flags", ",").alias("flags"))
+
+
+@query("ordered_findings", f"WITH {_F} SELECT transcript_id, row_number() OVER (PARTITION BY transcript_id ORDER BY rank, coalesce(rs, 0), type, cs, es)::INTEGER AS place, type, severity, es::BIGINT AS emit_seq FROM f")
+def _(spark, sf):
+    return report.ordered(_findings(spark, sf)).select("transcript_id", "place", "type", "severity", "emit_seq")
+
+
+@query("findings_by_type", f"WITH {_F} SELECT type, severity, count(*) AS n, count(DISTINCT transcript_id) AS transcripts FROM f GROUP BY 1, 2")
+def _(spark, sf):
+    return _findings(spark, sf).groupBy("type", "severity").agg(F.count("*").alias("n"), F.countDistinct("transcript_id").alias("transcripts"))
+
+
+# --- verification and preparation ------------------------------------------
+
+def _verified(spark, sf):
+    """Orders with duplicates against a second transcription: complete, without its last word, blank, or with names of one word more."""
+    seg = transcripts.bind(adapters.seg_lineitem(spark, sf, "idx").withColumn("reference_s", F.lit(REFERENCE_S)), compatibility=False)
+    tx = adapters.tx_lineitem(seg)
+    k = F.col("transcript_id").cast("long") % 4
+    alt = tx.select("transcript_id", F.when(k == 0, F.col("text")).when(k == 1, F.regexp_replace("text", " [^ ]+$", "")).when(k == 2, "").otherwise(F.replace("text", F.lit(" "), F.lit(" x "))).alias("text"))
+    groups = checks.duplicate_groups(seg)
+    return seg, tx, alt, groups, verify.group_verdicts(tx, groups, alt, compatibility=False)
+
+
+_V = f"""{_SEG}, x AS (SELECT transcript_id, {_sql_key("string_agg(text, ' ' ORDER BY idx)")} AS own FROM seg GROUP BY 1),
+a AS (SELECT transcript_id, own, CASE transcript_id::BIGINT % 4 WHEN 0 THEN own WHEN 1 THEN regexp_replace(own, ' [^ ]+$', '') WHEN 2 THEN '' ELSE replace(own, ' ', ' x ') END AS alt FROM x),
+g AS (SELECT transcript_id, {_sql_key('text')} AS phrase, min(idx) AS first_idx, list(idx ORDER BY idx) AS members, max(idx) - min(idx) = count(*) - 1 AS adjacent, min(e - s) AS lo, max(e - s) AS hi FROM seg GROUP BY 1, 2 HAVING count(*) > 1),
+c AS (SELECT g.*, alt = '' AS blank, (length(own) - length(replace(own, phrase, ''))) // length(phrase) AS oc, (length(alt) - length(replace(alt, phrase, ''))) // length(phrase) AS ac FROM g JOIN a USING (transcript_id)),
+v AS (SELECT *, CASE WHEN ac = 0 AND oc > 0 THEN 'absent_from_alternative' WHEN ac < oc THEN 'less_frequent_in_alternative' ELSE 'present_in_alternative' END AS verdict FROM c),
+o AS (SELECT transcript_id, count(*) FILTER (verdict = 'present_in_alternative') AS confirmed, count(*) FILTER (verdict <> 'present_in_alternative') AS contradicted, bool_or(blank) AS blank FROM v GROUP BY 1),
+st AS (SELECT transcript_id, CASE WHEN blank OR (confirmed > 0 AND contradicted > 0) THEN 'inconclusive' WHEN contradicted > 0 THEN 'duplicate_contradicted' ELSE 'duplicate_confirmed' END AS status, confirmed, contradicted FROM o),
+su AS (SELECT DISTINCT transcript_id, unnest(members) AS i FROM g WHERE adjacent OR (lo > 0 AND hi / lo >= 2)),
+mp AS (SELECT transcript_id, first_idx, i, min(i) OVER (PARTITION BY transcript_id, first_idx) AS f FROM (SELECT v.transcript_id, first_idx, unnest(members) AS i FROM v JOIN st USING (transcript_id) WHERE status = 'duplicate_contradicted' AND verdict <> 'present_in_alternative') JOIN su USING (transcript_id, i))"""
+
+
+@query("verification_verdicts", f"WITH {_V} SELECT transcript_id, phrase, oc::BIGINT AS in_original, ac::BIGINT AS in_alternative, verdict FROM v")
+def _(spark, sf):
+    return _verified(spark, sf)[4].select("transcript_id", "phrase", "in_original", "in_alternative", "verdict")
+
+
+@query("verification_status", f"WITH {_V} SELECT transcript_id, status, confirmed, contradicted FROM st")
+def _(spark, sf):
+    return verify.outcomes(_verified(spark, sf)[4])
+
+
+@query("alternative_adjacent_duplicates", f"WITH {_SEG}, k AS (SELECT transcript_id, {_sql_key('text')} = lag({_sql_key('text')}) OVER (PARTITION BY transcript_id ORDER BY idx) AS same FROM seg) SELECT transcript_id, coalesce(bool_or(same), false) AS has_adjacent FROM k GROUP BY 1")
+def _(spark, sf):
+    return verify.adjacent_duplicates(adapters.seg_lineitem(spark, sf, "idx"), compatibility=False)
+
+
+@query("suspect_segments", f"WITH {_V} SELECT transcript_id, i::VARCHAR AS key FROM su")
+def _(spark, sf):
+    return prepare.suspect_keys(_findings(spark, sf))
+
+
+def _merges(spark, sf):
+    seg, tx, _, groups, verdicts = _verified(spark, sf)
+    suspects = prepare.suspect_keys(checks.duplicate_checks(groups, compatibility=False))
+    none = seg.limit(0).select("transcript_id", "text")
+    return seg, tx, suspects, prepare.merge_plan(seg, verdicts, verify.outcomes(verdicts), suspects, none, compatibility=False)
+
+
+@query("merge_plan", f"WITH {_V} SELECT transcript_id, f::INTEGER AS merge_first, i::INTEGER AS idx FROM mp")
+def _(spark, sf):
+    return _merges(spark, sf)[3]
+
+
+@query("prepared_segments", f"""WITH {_V}, ms AS (SELECT mp.transcript_id, f AS place, string_agg(i::VARCHAR, ',' ORDER BY i) AS ids, min(i)::VARCHAR || '-' || max(i)::VARCHAR AS segment_id, string_agg(text, ' ' ORDER BY i) AS cleaned_text, min(s) AS a, max(e) AS b FROM mp JOIN seg ON seg.transcript_id = mp.transcript_id AND seg.idx = mp.i GROUP BY 1, 2)
+SELECT transcript_id, place::INTEGER AS place, segment_id, ids, cleaned_text, a AS start_seconds, b AS end_seconds, 'verified' AS correction_status, 'suspect' AS timestamp_confidence FROM ms
+UNION ALL SELECT s.transcript_id, s.idx::INTEGER, s.idx::VARCHAR, s.idx::VARCHAR, s.text, s.s, s.e, CASE WHEN su.i IS NULL THEN 'unchanged' ELSE 'uncertain' END, CASE WHEN s.e <= s.s THEN 'suspect' ELSE 'reliable' END
+FROM seg s LEFT JOIN su ON su.transcript_id = s.transcript_id AND su.i = s.idx LEFT JOIN mp ON mp.transcript_id = s.transcript_id AND mp.i = s.idx WHERE mp.i IS NULL""")
+def _(spark, sf):
+    seg, tx, suspects, merges = _merges(spark, sf)
+    flags = report.segment_flags(checks.duplicate_checks(checks.duplicate_groups(seg), compatibility=False))
+    p = prepare.prepared_segments(tx, seg, flags, suspects, merges)
+    return p.select("transcript_id", "place", "segment_id", F.array_join("source_segment_ids", ",").alias("ids"), "cleaned_text", "start_seconds", "end_seconds", "correction_status", "timestamp_confidence")
+
+
+@query("cleaning_summary", f"WITH {_CONV}, x AS (SELECT transcript_id, string_agg(text, ' ' ORDER BY idx) AS t FROM conv GROUP BY 1) SELECT transcript_id, len({_sql_tokens('t')})::INTEGER AS raw_word_count, len({_sql_tokens('t')})::INTEGER AS cleaned_word_count, 0 AS new_words FROM x")
+def _(spark, sf):
+    b, tx = transcripts.bind(adapters.seg_conversations(spark, sf)), adapters.tx_conversations(spark, sf)
+    p = b.select("transcript_id", F.col("idx").alias("place"), F.col("cleaned").alias("cleaned_text"))
+    return prepare.assembled(tx, p).select("transcript_id", "raw_word_count", "cleaned_word_count", F.size("unexpected_new_words").alias("new_words"))
+
+
+@query("run_status", f"WITH {_F}, n AS (SELECT s.transcript_id, coalesce(bool_or(rank <= 2), false) AS bad FROM (SELECT DISTINCT transcript_id FROM seg) s LEFT JOIN f USING (transcript_id) GROUP BY 1) SELECT transcript_id, CASE WHEN bad OR transcript_id::BIGINT % 5 = 0 THEN 'needs_review' ELSE 'ready' END AS run_status FROM n")
+def _(spark, sf):
+    t = adapters.seg_lineitem(spark, sf, "idx").select("transcript_id").distinct()
+    status = t.withColumn("status", F.when(F.col("transcript_id").cast("long") % 5 == 0, "inconclusive").otherwise("not_performed"))
+    return prepare.run_status(report.summary(t, _findings(spark, sf)), status)
+
+
+@query("full_analysis")
+def _(spark, sf):
+    """Every check over orders as transcripts, as one summary a transcript."""
+    seg = adapters.seg_lineitem(spark, sf)
+    return engine.analyze(adapters.tx_lineitem(seg), seg, GLOSSARY, compatibility=False).summary()
+
+
+# --- control ---------------------------------------------------------------
+
+@query("codec_plan", "SELECT v, a, CASE WHEN v = 'h264' AND (a IS NULL OR a = 'aac') THEN 'copy' WHEN v = 'h264' THEN 'copy-video/reencode-audio' WHEN a IS NULL OR a = 'aac' THEN 'reencode-video/copy-audio' ELSE 'reencode' END AS plan FROM (VALUES ('h264'), ('wmv2'), (NULL)) x(v), (VALUES ('aac'), ('vorbis'), (NULL)) y(a)")
+def _(spark, sf):
+    pairs = [(v, a) for v in ("h264", "wmv2", None) for a in ("aac", "vorbis", None)]
+    return spark.createDataFrame(pairs, "v string, a string").select("v", "a", timing.codec_plan("v", "a").alias("plan"))
+
+
+@query("error_class", "SELECT status::INTEGER AS status, CASE WHEN status IN (401, 403) THEN 'auth' WHEN status IS NULL OR status IN (408, 409, 425, 429, 500, 502, 503, 504) THEN 'retryable' ELSE 'permanent' END AS class FROM (SELECT unnest(range(400, 512)) AS status UNION ALL SELECT NULL)")
+def _(spark, sf):
+    return spark.range(400, 512).select(F.col("id").cast("int").alias("status")).union(spark.range(1).select(F.lit(None).cast("int"))).select("status", timing.error_class("status").alias("class"))
+
+
+@query("backoff_schedule", "SELECT n::INTEGER AS attempt, least(30.0::DOUBLE, 2.0::DOUBLE * power(2, n - 1)) AS seconds FROM range(1, 9) r(n)")
+def _(spark, sf):
+    return spark.range(1, 9).select(F.col("id").cast("int").alias("attempt"), timing.backoff("id").alias("seconds"))
+
+
+@query("output_names", r"SELECT c_custkey, regexp_replace(regexp_replace('..' || c_name || ' (a/b)', '[^\p{L}\p{N}\-_.]', '_', 'g'), '^[._]+|[._]+$', '', 'g') || '_test_' || CASE WHEN c_custkey % 2 = 0 THEN '30' ELSE '12.5' END || 's' AS base FROM customer")
+def _(spark, sf):
+    return table(spark, sf, "customer", "c_custkey", "c_name").select("c_custkey", timing.output_base(F.concat(F.lit(".."), "c_name", F.lit(" (a/b)")), F.when(F.col("c_custkey") % 2 == 0, 30.0).otherwise(12.5)).alias("base"))
+
+
+@query("extract_tolerance", "SELECT l_orderkey, l_linenumber, l_partkey, (l_quantity >= 0.05 AND abs(l_quantity - 25) <= greatest(1.0, 2.5)) AS ok, greatest(0.0, least(l_quantity::DOUBLE, 25.0)) AS effective FROM lineitem")
+def _(spark, sf):
+    q = F.col("l_quantity").cast("double")
+    return table(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity").select("l_orderkey", "l_linenumber", "l_partkey", timing.extraction_ok(q, F.lit(25.0)).alias("ok"), timing.effective_duration(F.lit(25.0), q).alias("effective"))
+
+
+@query("transcript_text", r"SELECT transcript_id, regexp_replace(regexp_replace(regexp_replace(replace(replace(text, '. ', '. ' || chr(13) || chr(10)), chr(13) || chr(10), chr(10)), '[ \t]+' || chr(10), chr(10), 'g'), '[ \t]+$', ''), chr(10) || '+$', '') || chr(10) AS file_text FROM (" + _DOCS + ")")
+def _(spark, sf):
+    return adapters.tx_documents(spark, sf).select("transcript_id", text.transcript_text(F.replace("text", F.lit(". "), F.lit(". \r\n"))).alias("file_text"))

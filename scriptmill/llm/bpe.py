@@ -16,7 +16,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from itertools import pairwise
 
 import numpy as np
 import regex
@@ -25,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from scriptmill.llm.batches import map_texts, schema_of
 
-MEMO = 300_000  # entries of a generation
+MEMO = 500_000  # entries of a generation
 _MASK = (1 << 64) - 1
 
 
@@ -112,6 +111,7 @@ class Encoder(dict):
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self.v, self.old = vocabulary, {}
+        self.ranks = {t: i for i, t in enumerate(vocabulary.tokens)}  # of merges, by their bytes
         self.split = regex.compile(vocabulary.pattern).findall
 
     def __missing__(self, piece: str) -> bytes:
@@ -129,26 +129,31 @@ class Encoder(dict):
         whole = self.v.id_of(piece)
         if whole >= 0:
             return [whole]
-        id_of = self.v.id_of
-        parts = [piece[i : i + 1] for i in range(len(piece))]
-        n = len(parts)
+        rank, n = self.ranks.get, len(piece)
+        bits = n.bit_length()
+        mask = (1 << bits) - 1
+        parts = [piece[i : i + 1] for i in range(n)]
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, i, a + b) for i, (a, b) in enumerate(pairwise(parts)) if (r := id_of(a + b)) >= 0]
+        # an entry holds a rank and, in its low bits, the place of the left part
+        heap = [r << bits | i for i in range(n - 1) if (r := rank(piece[i : i + 2])) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, joined = heapq.heappop(heap)
-            j = after[i]
-            if parts[i] is None or j >= n or len(parts[i]) + len(parts[j]) != len(joined):
+            entry = heapq.heappop(heap)
+            i = entry & mask
+            if parts[i] is None or (j := after[i]) >= n:
+                continue
+            joined = parts[i] + parts[j]
+            if rank(joined) != entry >> bits:
                 continue  # one side has been merged since
             k = after[j]
             parts[i], parts[j], after[i] = joined, None, k
             if k < n:
                 before[k] = i
-                if (r := id_of(joined + parts[k])) >= 0:
-                    heapq.heappush(heap, (r, i, joined + parts[k]))
-            if (h := before[i]) >= 0 and (r := id_of(parts[h] + joined)) >= 0:
-                heapq.heappush(heap, (r, h, parts[h] + joined))
-        return [id_of(p) for p in parts if p is not None]
+                if (r := rank(joined + parts[k])) is not None:
+                    heapq.heappush(heap, r << bits | i)
+            if (h := before[i]) >= 0 and (r := rank(parts[h] + joined)) is not None:
+                heapq.heappush(heap, r << bits | h)
+        return [self.ranks[p] for p in parts if p is not None]
 
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, self.split(text)))

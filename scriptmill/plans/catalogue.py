@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from scriptmill.functions import similarity, text, timing
 from scriptmill.operators import checks, phrases, prepare, report, terms, verify
 from scriptmill.plans import engine
-from scriptmill.runtime import table
+from scriptmill.runtime import Workspace, table
 from scriptmill.schema import SEVERITIES
 from scriptmill.sources import adapters, transcripts
 from scriptmill.sources.glossary import Glossary, Term
@@ -542,7 +542,7 @@ def _(spark, sf):
 def _(spark, sf):
     """Every check over orders as transcripts, as one summary a transcript."""
     seg = adapters.seg_lineitem(spark, sf)
-    return engine.analyze(adapters.tx_lineitem(seg), seg, GLOSSARY, compatibility=False).summary()
+    return engine.analyze(adapters.tx_lineitem(seg), seg, GLOSSARY, compatibility=False, workspace=Workspace(spark, "analysis")).summary()
 
 
 # --- control ---------------------------------------------------------------

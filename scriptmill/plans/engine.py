@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from scriptmill.functions.timing import prepared_duration
 from scriptmill.operators import checks, prepare, report, verify
 from scriptmill.operators.terms import annotations
+from scriptmill.runtime import Workspace
 from scriptmill.schema import FINDING_TYPES, SEVERITIES, Thresholds
 from scriptmill.sources.glossary import Glossary
 from scriptmill.sources.transcripts import bind, has_timestamps
@@ -44,16 +45,20 @@ def _with_reference(segments: DataFrame, transcripts: DataFrame) -> DataFrame:
     return segments.join(transcripts.select("transcript_id", "reference_s"), "transcript_id", "left")
 
 
-def analyze(transcripts: DataFrame, segments: DataFrame, glossary: Glossary | None = None, thresholds: Thresholds | None = None, compatibility: bool = True) -> Report:
+def analyze(transcripts: DataFrame, segments: DataFrame, glossary: Glossary | None = None, thresholds: Thresholds | None = None, compatibility: bool = True, workspace: Workspace | None = None) -> Report:
     """Run every check on every transcript.
 
     ``transcripts``: transcript_id, text, reference_s. ``segments``: the table
     of :mod:`scriptmill.sources.transcripts`. All window and grouping steps are
-    keyed by transcript, so they share one partitioning.
+    keyed by transcript, so they share one partitioning. With a ``workspace``,
+    bound segments and findings are written once instead of being derived anew
+    for every check and every later use.
     """
     th = thresholds or Thresholds()
     transcripts = transcripts.withColumn("transcript_id", F.col("transcript_id").cast("string"))
     bound = bind(_with_reference(segments.withColumn("transcript_id", F.col("transcript_id").cast("string")), transcripts), compatibility)
+    if workspace is not None:
+        bound = workspace.save(bound, "segments")
     groups = checks.duplicate_groups(bound)
     parts = [
         checks.structure_check(transcripts, segments.select(F.col("transcript_id").cast("string").alias("transcript_id"))),
@@ -64,7 +69,8 @@ def analyze(transcripts: DataFrame, segments: DataFrame, glossary: Glossary | No
     ]
     if glossary is not None:
         parts += [checks.term_checks(transcripts, bound, glossary), checks.confusable_checks(transcripts, bound, glossary, compatibility)]
-    return Report(transcripts, bound, reduce(DataFrame.unionByName, parts), groups)
+    findings = reduce(DataFrame.unionByName, parts)
+    return Report(transcripts, bound, workspace.save(findings, "findings") if workspace is not None else findings, groups)
 
 
 @dataclass
@@ -118,7 +124,7 @@ def prepared_document(documents: DataFrame, glossary: Glossary | None = None) ->
 def qa_document(r: Report, status: DataFrame) -> DataFrame:
     """(transcript_id, document): the quality report as one struct, schema version 1."""
     f = r.ordered()
-    listed = f.groupBy("transcript_id").agg(F.array_sort(F.collect_list(F.struct("place", "type", "severity", "segment_ids", "range_start", "range_end", "evidence"))).alias("findings"))
+    listed = f.groupBy("transcript_id").agg(F.array_sort(F.collect_list(F.struct("place", "type", "severity", "segment_ids", "range_start", "range_end", "evidence")), lambda a, b: a["place"] - b["place"]).alias("findings"))
     g = r.groups.groupBy("transcript_id").agg(F.array_sort(F.collect_list(F.struct("first_idx", "segment_ids", "exact", F.substring("normalized_text", 1, 200).alias("normalized_text")))).alias("duplicate_groups"))
     flags = r.flags().groupBy("transcript_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "flags")))).alias("segment_flags"))
     d = r.summary().join(listed, "transcript_id", "left").join(g, "transcript_id", "left").join(flags, "transcript_id", "left").join(report.type_counts(r.findings), "transcript_id", "left").join(status, "transcript_id", "left")

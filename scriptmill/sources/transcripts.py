@@ -36,7 +36,7 @@ def parse_transcripts(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     v = F.try_parse_json("json")
     # NaN, Infinity as bare words fail strict parsing; quoting them keeps the rest of the document typed
-    quoted = F.regexp_replace("json", r"(?<=[:\[,])\s*(-?(?:NaN|Infinity))\s*(?=[,}\]])", ' "\u0000$1"')
+    quoted = F.regexp_replace("json", r"(?<=[:\[,])\s*(-?(?:NaN|Infinity))\s*(?=[,}\]])", ' "\ue000$1"')
     rows = files.select("transcript_id", F.coalesce(v, F.try_parse_json(quoted)).alias("v"))
     segments = _get(F.col("v"), "$.segments", "variant")
     seg_type = F.schema_of_variant(segments)
@@ -68,7 +68,7 @@ def parse_transcripts(files: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     def raw(x, path):
         t = _get(s, path, "string")
-        special = t.startswith("\0")
+        special = t.startswith("\ue000")
         return F.when(special, F.substring(t, 2, 20)).otherwise(t), F.when(special, "number").otherwise(_kind(x))
 
     (start_raw, start_kind), (end_raw, end_kind) = raw(start, "$.start"), raw(end, "$.end")

@@ -13,7 +13,11 @@ bytes; of each class of equal prefixes all but the earliest string (document,
 then start) are marked. Of identical segments only the earliest is sorted, the
 others are marked whole.
 
-An anchor with more than ``HOT`` occurrences does not go to one task: its
+Whole copies are set apart first: of equal texts the first document stays and
+the others lose all their bytes, and an anchor counts as repeated only if it
+occurs in different texts or at different places.
+
+An anchor with more than ``HOT`` segments does not go to one task: its
 segments are collapsed by aggregation, and what is distinct is spread by the
 digests of its strings, also exactly.
 
@@ -185,14 +189,15 @@ def _identified(df: DataFrame, ws: Workspace, key: str, text: str) -> DataFrame:
 
 
 def _anchor_table(docs: DataFrame) -> DataFrame:
+    """(h, _id, where, run): every anchor run; ``where`` is equal for the same place in equal texts, ``run`` packs first start and number of starts."""
     def run(batches):
         for b in batches:
-            for part in slices(b, 1, 4096, 1 << 20):
-                ids = part.column(0).to_numpy()
-                doc, start, n, h = anchors([(x or "").encode() for x in part.column(1).to_pylist()])
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[doc]), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int16))], names=["h", "_id", "start", "n"])
+            for part in slices(b, 2, 4096, 1 << 20):
+                ids, same = part.column(0).to_numpy(), part.column(1).to_numpy()
+                doc, start, n, h = anchors([(x or "").encode() for x in part.column(2).to_pylist()])
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[doc]), pa.array(same[doc]), pa.array(start << 8 | n)], names=["h", "_id", "same", "run"])
 
-    return docs.select("_id", "_text").mapInArrow(run, "h long, _id long, start int, n short")
+    return docs.select("_id", F.xxhash64("_text").alias("_same"), "_text").mapInArrow(run, "h long, _id long, same long, run long")
 
 
 def _cut_segments(joined: DataFrame) -> DataFrame:
@@ -200,44 +205,44 @@ def _cut_segments(joined: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             for part in slices(b, 1, 64):
-                out = [[], [], [], [], []]
+                out = [[], [], [], []]
                 for i, text, rows in zip(*(c.to_pylist() for c in part.columns), strict=True):
                     raw = text.encode()
+                    starts = [r["run"] >> 8 for r in rows]
                     out[0] += [r["h"] for r in rows]
-                    out[1] += [raw[r["start"] : r["start"] + r["n"] + LENGTH - 1] for r in rows]
+                    out[1] += [raw[a : a + (r["run"] & 255) + LENGTH - 1] for a, r in zip(starts, rows, strict=True)]
                     out[2] += [i] * len(rows)
-                    out[3] += [r["start"] for r in rows]
-                    out[4] += [r["hot"] for r in rows]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.bool_()), strict=True)], names=["h", "segment", "_id", "start", "hot"])
+                    out[3] += starts
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.binary(), pa.int64(), pa.int32()), strict=True)], names=["h", "segment", "_id", "start"])
 
-    return joined.select("_id", "_text", "_runs").mapInArrow(run, "h long, segment binary, _id long, start int, hot boolean")
+    return joined.select("_id", "_text", "_runs").mapInArrow(run, "h long, segment binary, _id long, start int")
 
 
-def _hot_runs(segments: DataFrame) -> DataFrame:
-    """Marked strings of hot anchors: identical segments collapse to the earliest, the strings of what is left are grouped by digest."""
+def _hot_runs(named: DataFrame, ws: Workspace) -> DataFrame:
+    """Marked strings of hot anchors: identical segments collapse to the earliest, the strings of what is left are grouped by digest. Minima are tables of their own, so that the joins with them can be split where a digest is very common."""
     at = F.struct("_id", "start")
-    named = segments.select("_id", "start", "segment", F.unhex(F.md5("segment")).alias("_name"))
-    first = named.groupBy("_name").agg(F.min(at).alias("_first"))
+    first = ws.save(named.groupBy("_name").agg(F.min(at).alias("_first")), "hot_first")
     n = F.octet_length("segment").cast("long") - LENGTH + 1
     judged = named.join(first, "_name").select("_id", "start", "segment", n.alias("n"), (at == F.col("_first")).alias("_own"))
     copies = judged.filter(~F.col("_own")).select("_id", F.col("start").cast("long").alias("start"), "n")
     strings = judged.filter("_own").select("_id", "start", "segment", F.explode(F.sequence(F.lit(0), F.col("n").cast("int") - 1)).alias("_j"))
-    strings = strings.select("_id", (F.col("start") + F.col("_j")).cast("long").alias("start"), F.unhex(F.md5(F.substring("segment", F.col("_j") + 1, F.lit(LENGTH)))).alias("_name"))
-    least = strings.groupBy("_name").agg(F.min(at).alias("_first"))
+    strings = ws.save(strings.select("_id", (F.col("start") + F.col("_j")).cast("long").alias("start"), F.unhex(F.md5(F.substring("segment", F.col("_j") + 1, F.lit(LENGTH)))).alias("_name")), "hot_strings")
+    least = ws.save(strings.groupBy("_name").agg(F.min(at).alias("_first")), "hot_least")
     later = strings.join(least, "_name").filter(at != F.col("_first")).select("_id", "start", F.lit(1).cast("long").alias("n"))
     return copies.unionByName(later)
 
 
 def _strip(joined: DataFrame, key: str, schema) -> DataFrame:
-    """Digests of what is left of each document without its marked strings."""
+    """Digests of what is left of each document without its marked strings; a copy keeps nothing."""
     def run(batches):
         for b in batches:
             for part in slices(b, 1, 256):
                 out = [[], [], [], []]
-                for text, runs in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
+                for text, runs, copy in zip(*(part.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
                     raw, spans = (text or "").encode(), 0
                     kept, end, removed = hashlib.sha256(), 0, 0
-                    for r in sorted((r["start"], r["start"] + r["n"] + LENGTH - 1) for r in runs or ()):
+                    marked = [(0, len(raw))] if copy and len(raw) >= LENGTH else sorted((r["start"], r["start"] + r["n"] + LENGTH - 1) for r in runs or ())
+                    for r in marked:
                         if r[0] > end or not spans:
                             kept.update(raw[end : r[0]])
                             spans, end, removed = spans + 1, r[1], removed + r[1] - r[0]
@@ -248,7 +253,14 @@ def _strip(joined: DataFrame, key: str, schema) -> DataFrame:
                         x.append(v)
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True))], names=schema.fieldNames())
 
-    return joined.select(key, "_text", "_runs").mapInArrow(run, schema)
+    return joined.select(key, "_text", "_runs", "_copy").mapInArrow(run, schema)
+
+
+def _copies(docs: DataFrame, ws: Workspace) -> DataFrame:
+    """(_id, _copy) of the documents whose text an earlier one has."""
+    texts = ws.save(docs.select("_id", F.unhex(F.md5(F.encode(F.coalesce("_text", F.lit("")), "utf-8"))).alias("_name")), "texts")
+    first = ws.save(texts.groupBy("_name").agg(F.min("_id").alias("_first"), F.count("*").alias("_n")).filter("_n > 1").select("_name", "_first"), "first")
+    return ws.save(texts.join(first, "_name").filter("_id <> _first").select("_id", F.lit(True).alias("_copy")), "copies")
 
 
 def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
@@ -256,20 +268,24 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", hot:
     ship(df.sparkSession)
     ws = Workspace(df.sparkSession, "suffixes")
     docs = _identified(df, ws, key, text)
+    copies = _copies(docs, ws)
     found = ws.save(_anchor_table(docs), "anchors")
-    often = found.groupBy("h").agg(F.count("*").alias("_n")).filter("_n > 1")
-    runs = found.join(often, "h").groupBy("_id").agg(F.collect_list(F.struct("h", "start", "n", (F.col("_n") > hot).alias("hot"))).alias("_runs"))
+    place = F.xxhash64("same", "run")
+    often = ws.save(found.groupBy("h").agg(F.min(place).alias("_a"), F.max(place).alias("_b")).filter("_a <> _b").select("h"), "often")
+    runs = found.join(often, "h").groupBy("_id").agg(F.collect_list(F.struct("h", "run")).alias("_runs")).join(copies, "_id", "left_anti")
     runs = ws.save(runs, "repeated")
-    ws.drop("anchors")
+    ws.drop("anchors", "often")
     ws.sweep()
     segments = ws.save(_cut_segments(docs.join(runs, "_id")), "segments")
     ws.drop("repeated")
     ws.sweep()
-    cold = segments.filter("not hot").repartition("h").sortWithinPartitions("h").select("h", "segment", "_id", "start")
-    marked = cold.mapInArrow(_sort_shards, "id long, start long, n long").withColumnRenamed("id", "_id")
-    if segments.filter("hot").head(1):
-        marked = marked.unionByName(_hot_runs(segments.filter("hot")))
+    large = ws.save(segments.groupBy("h").agg(F.count("*").alias("_n")).filter(F.col("_n") > hot).select("h"), "hot")
+    split = bool(large.head(1))
+    cold = segments.join(large, "h", "left_anti") if split else segments
+    marked = cold.repartition("h").sortWithinPartitions("h").select("h", "segment", "_id", "start").mapInArrow(_sort_shards, "id long, start long, n long").withColumnRenamed("id", "_id")
+    if split:
+        marked = marked.unionByName(_hot_runs(ws.save(segments.join(large, "h", "left_semi").withColumn("_name", F.unhex(F.md5("segment"))), "hot_segments"), ws))
     marked = ws.save(marked.groupBy("_id").agg(F.collect_list(F.struct("start", "n")).alias("_runs")), "marked")
-    ws.drop("segments")
+    ws.drop("segments", "hot_segments")
     ws.sweep()
-    return _strip(docs.join(marked, "_id", "left"), key, schema_of(docs, [key], "n_bytes long, n_removed long, n_spans long, kept_sha256 string"))
+    return _strip(docs.join(marked, "_id", "left").join(copies, "_id", "left"), key, schema_of(docs, [key], "n_bytes long, n_removed long, n_spans long, kept_sha256 string"))

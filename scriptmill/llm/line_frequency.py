@@ -73,11 +73,12 @@ def base_counts(text: str) -> tuple[int, int, int, int, int]:
 
 
 def line_hashes(text: str) -> tuple[list[int], list[int], int]:
-    """Hashes and word counts of the normalised lines that have words, and the hash of the longest line."""
-    lines = [b" ".join(x) for x in map(bytes.split, text.encode().translate(_NORMAL).split(b"\n")) if x]
-    hashes = [xxhash.xxh64_intdigest(x) - (1 << 63) for x in lines]
-    top = max(range(len(lines)), key=lambda i: (len(lines[i]), lines[i]), default=None)
-    return hashes, [x.count(b" ") + 1 for x in lines], 0 if top is None else hashes[top]
+    """Hashes and word counts of the normalised lines that have words, and the hash of the longest line as it stands."""
+    hashed = lambda x: xxhash.xxh64_intdigest(x) - (1 << 63)
+    raw = text.encode()
+    lines = [b" ".join(x) for x in map(bytes.split, raw.translate(_NORMAL).split(b"\n")) if x]
+    top = max((x.strip(SPACE) for x in raw.split(b"\n")), key=lambda x: (len(x), x))
+    return [hashed(x) for x in lines], [x.count(b" ") + 1 for x in lines], hashed(top)
 
 
 def _make():
@@ -99,6 +100,7 @@ def quality_rules(df: DataFrame, key: str = "doc_id", host: str = "source", text
     hosts = docs.select("_host", "_identity").distinct().groupBy("_host").agg(F.greatest(F.lit(float(min_docs)), F.count("*") * share).alias("_limit"))
     common = lines.select("_host", "_line", "_identity").distinct().groupBy("_host", "_line").agg(F.count("*").alias("_docs")).filter(F.col("_docs") > min_docs)
     common = common.join(hosts, "_host").filter(F.col("_docs") > F.col("_limit")).select("_host", "_line")
+    common = ws.save(common, "common")  # a table of its own, so that the join with it can be split where a line is very common
     removed = lines.join(common, ["_host", "_line"]).groupBy("_row").agg(F.sum("_size").alias("_gone"), F.count("*").alias("_gone_lines"))
     out = docs.drop("_lines", "_sizes", "_identity", "_host").join(removed, "_row", "left").select("*", F.coalesce("_gone", F.lit(0)).alias("n_removed_words"), F.coalesce("_gone_lines", F.lit(0)).alias("n_removed_lines"))
     out = out.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words")))

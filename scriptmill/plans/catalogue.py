@@ -14,7 +14,7 @@ from scriptmill.functions import similarity, text, timing
 from scriptmill.operators import checks, phrases, prepare, report, terms, verify
 from scriptmill.plans import engine
 from scriptmill.runtime import Workspace, table
-from scriptmill.schema import SEVERITIES
+from scriptmill.schema import SEVERITIES, rank_of
 from scriptmill.sources import adapters, transcripts
 from scriptmill.sources.glossary import Glossary, Term
 
@@ -577,3 +577,82 @@ def _(spark, sf):
 @query("transcript_text", r"SELECT transcript_id, regexp_replace(regexp_replace(regexp_replace(replace(replace(text, '. ', '. ' || chr(13) || chr(10)), chr(13) || chr(10), chr(10)), '[ \t]+' || chr(10), chr(10), 'g'), '[ \t]+$', ''), chr(10) || '+$', '') || chr(10) AS file_text FROM (" + _DOCS + ")")
 def _(spark, sf):
     return adapters.tx_documents(spark, sf).select("transcript_id", text.transcript_text(F.replace("text", F.lit(". "), F.lit(". \r\n"))).alias("file_text"))
+
+
+# --- files and responses ---------------------------------------------------
+
+def _artifacts(spark, sf) -> DataFrame:
+    """Orders as version-1 artifacts: every order a JSON text, some with times as text, ids missing, or a broken form."""
+    s, k = adapters.seg_lineitem(spark, sf), F.col("transcript_id").cast("long")
+    seg = s.select("transcript_id", "idx", F.concat(
+        F.lit('{"text":'), F.to_json(F.array("text")).substr(F.lit(2), F.length(F.to_json(F.array("text"))) - 2), F.when(k % 3 != 0, F.concat(F.lit(',"id":'), F.col("key"))).otherwise(""),
+        F.lit(',"start":'), F.when(k % 4 == 0, F.concat(F.lit('"'), F.col("start").cast("string"), F.lit('"'))).when((k % 4 == 1) & (F.col("idx") == 1), "NaN").otherwise(F.col("start").cast("string")), F.lit(',"end":'), F.when(k % 7 == 0, "true").otherwise(F.col("end").cast("string")), F.lit("}"),
+    ).alias("j"))
+    doc = seg.groupBy("transcript_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", "j"))), lambda x: x["j"]), ",").alias("j"))
+    version = F.when(k % 11 == 0, "2").otherwise("1")
+    return doc.select("transcript_id", F.concat(F.lit('{"schema_version":'), version, F.lit(',"transcript":'), F.when(k % 13 == 0, "5").otherwise('"x"'), F.lit(',"processed_duration_seconds":'), F.when(k % 2 == 0, "0").otherwise('"12.5"'), F.lit(',"api_reported_duration_seconds":7,"segments":['), F.col("j"), F.lit("]}")).alias("json"))
+
+
+@query("json_segments", f"WITH {_SEG} SELECT transcript_id, idx::INTEGER AS idx, CASE WHEN transcript_id::BIGINT % 3 <> 0 THEN line ELSE idx::VARCHAR END AS key, text, CASE WHEN NOT (transcript_id::BIGINT % 4 = 1 AND idx = 1) THEN s END AS s, NOT (transcript_id::BIGINT % 4 = 1 AND idx = 1) AS start_valid, CASE WHEN transcript_id::BIGINT % 7 <> 0 THEN e END AS e, transcript_id::BIGINT % 7 <> 0 AS end_valid FROM seg WHERE transcript_id::BIGINT % 11 <> 0 AND transcript_id::BIGINT % 13 <> 0")
+def _(spark, sf):
+    s = transcripts.parse_transcripts(_artifacts(spark, sf))[1]
+    return s.select("transcript_id", "idx", "key", "text", F.col("start").alias("s"), "start_valid", F.col("end").alias("e"), "end_valid")
+
+
+@query("json_transcripts", "SELECT transcript_id, CASE WHEN k % 11 = 0 THEN 'unsupported schema version' WHEN k % 13 = 0 THEN 'transcript text is missing or not a string' END AS error, CASE WHEN k % 2 = 0 THEN 7.0 ELSE 12.5 END::DOUBLE AS reference_s FROM (SELECT DISTINCT l_orderkey::VARCHAR AS transcript_id, l_orderkey AS k FROM lineitem)")
+def _(spark, sf):
+    return transcripts.parse_transcripts(_artifacts(spark, sf))[0].select("transcript_id", "error", "reference_s")
+
+
+@query("response_segments", f"WITH {_EV} SELECT transcript_id, (count(*) FILTER (key::BIGINT % 3 <> 0))::INTEGER AS n, sum(floor(s) - 1700000000) FILTER (key::BIGINT % 3 <> 0) AS starts FROM ev GROUP BY 1")
+def _(spark, sf):
+    """Events as transcription answers in which every third segment lacks a usable time."""
+    e, k = adapters.seg_events(spark, sf), F.col("key").cast("long")
+    item = F.concat(F.lit('{"start":'), F.when(k % 3 == 0, '"x"').otherwise((F.floor("start") - 1700000000).cast("string")), F.lit(',"end":1,"text":" a "}'))
+    r = e.groupBy("transcript_id").agg(F.concat(F.lit('{"text":" t ","segments":['), F.array_join(F.collect_list(item), ","), F.lit("]}")).alias("response"))
+    n = transcripts.normalize_response(r)
+    return n.select("transcript_id", F.size("segments").alias("n"), F.aggregate("segments", F.lit(0.0), lambda a, x: a + x["start"]).alias("starts"))
+
+
+@query("probe_numbers", "SELECT raw, v::DOUBLE AS value FROM (VALUES ('25', 25.0), ('N/A', NULL), ('', NULL), (NULL, NULL), ('30/1', 30.0), ('30/0', NULL), ('x', NULL), (' 1.5 ', 1.5)) t(raw, v)")
+def _(spark, sf):
+    return spark.createDataFrame([(x,) for x in ("25", "N/A", "", None, "30/1", "30/0", "x", " 1.5 ")], "raw string").select("raw", timing.probe_number("raw").alias("value"))
+
+
+@query("metadata_numbers", "SELECT raw, kind, v::DOUBLE AS value FROM (VALUES ('7', 'number', 7.0), ('7', 'string', 7.0), ('true', 'other', NULL), ('x', 'string', NULL), ('NaN', 'number', NULL), (NULL, 'other', NULL), ('1e2', 'string', 100.0)) t(raw, kind, v)")
+def _(spark, sf):
+    rows = [("7", "number"), ("7", "string"), ("true", "other"), ("x", "string"), ("NaN", "number"), (None, "other"), ("1e2", "string")]
+    return spark.createDataFrame(rows, "raw string, kind string").select("raw", "kind", timing.metadata_double("raw", "kind").alias("value"))
+
+
+@query("longest_runs", f"WITH {_SEG}, g AS (SELECT transcript_id, text, idx - row_number() OVER (PARTITION BY transcript_id, text ORDER BY idx) AS g FROM seg), r AS (SELECT transcript_id, text, g, count(*) AS n FROM g GROUP BY 1, 2, 3) SELECT transcript_id, max(n)::INTEGER AS longest FROM r GROUP BY 1")
+def _(spark, sf):
+    s = adapters.seg_lineitem(spark, sf).groupBy("transcript_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("idx", "text"))), lambda x: x["text"]).alias("w"))
+    return s.select("transcript_id", text.longest_run(F.col("w")).alias("longest"))
+
+
+@query("upload_guard", "SELECT o_orderkey, o_orderkey * 4096 > 0 AND o_orderkey * 4096 <= 26214400 AS ok FROM orders")
+def _(spark, sf):
+    return table(spark, sf, "orders", "o_orderkey").select("o_orderkey", timing.upload_ok(F.col("o_orderkey") * 4096).alias("ok"))
+
+
+@query("severity_ranks", "SELECT * FROM (VALUES ('critical', 0), ('high', 1), ('medium', 2), ('low', 3), ('info', 4)) t(severity, rank)")
+def _(spark, sf):
+    return spark.createDataFrame([(s,) for s in SEVERITIES], "severity string").select("severity", rank_of(F.col("severity")).alias("rank"))
+
+
+@query("verification_gate", f"WITH {_V} SELECT transcript_id, CASE WHEN g.transcript_id IS NULL THEN 'not_performed' WHEN x.transcript_id::BIGINT % 9 = 0 THEN 'failed' ELSE coalesce(status, 'inconclusive') END AS status FROM x LEFT JOIN (SELECT DISTINCT transcript_id FROM g) g USING (transcript_id) LEFT JOIN st USING (transcript_id)")
+def _(spark, sf):
+    """Statuses of all orders, with failed attempts for every ninth."""
+    _, tx, _, groups, verdicts = _verified(spark, sf)
+    failed = tx.filter(F.col("transcript_id").cast("long") % 9 == 0).select("transcript_id", F.lit("x").alias("error"))
+    return verify.statuses(tx, groups, verify.outcomes(verdicts), True, failed)
+
+
+@query("review_notes", f"WITH {_F}, b AS (SELECT transcript_id, 1 AS k, first_idx::DOUBLE AS a, '' AS ty, 'unresolved repetition in ' || replace(ids, ',', ', ') || ': ' || text AS note FROM d UNION ALL SELECT transcript_id, rank + 2, coalesce(rs, 0), type, '[' || severity || '] ' || type || ' ' || array_to_string(m, ', ') FROM f WHERE rank <= 1) SELECT transcript_id, string_agg(note, ' | ' ORDER BY k, a, ty, note) AS notes FROM b GROUP BY 1")
+def _(spark, sf):
+    seg = transcripts.bind(adapters.seg_lineitem(spark, sf, "idx").withColumn("reference_s", F.lit(REFERENCE_S)), compatibility=False)
+    groups, f = checks.duplicate_groups(seg), _findings(spark, sf)
+    status = seg.select("transcript_id").distinct().withColumn("status", F.lit("not_performed"))
+    none = spark.createDataFrame([], "transcript_id string, place int, segment_id string, source_segment_ids array<string>, quality_flags array<string>")
+    return prepare.review_notes(f, groups, status, none).select("transcript_id", F.array_join("notes", " | ").alias("notes"))

@@ -24,7 +24,7 @@ def _ratio():
 
 
 def key_similarity(a: Column, b: Column) -> Column:
-    """Similarity of two comparison keys; only pairs that cannot be decided by length or equality reach Python."""
+    """Similarity of two comparison keys; only pairs that cannot be decided by length or equality reach Python. Pass columns that exist, not expressions: each is used in several branches."""
     la, lb = F.length(a), F.length(b)
     cut = lambda x: F.substring(x, 1, MAX_CHARS)
     decided = F.when((la == 0) & (lb == 0), 1.0).when((la == 0) | (lb == 0), 0.0).when(F.greatest(la, lb) / F.least(la, lb) > MAX_RATIO, 0.0).when(cut(a) == cut(b), 1.0)

@@ -25,8 +25,8 @@ def normalize_invisible(c: Column | str) -> Column:
 
 
 def collapse(c: Column | str) -> Column:
-    """Every run of white space as one space, none at the ends."""
-    return F.trim(F.regexp_replace(col(c), f"[{SPACE}]+", " "))
+    """Every run of white space as one space, none at the ends. Single spaces, nearly all of the runs, are not matched at all."""
+    return F.trim(F.regexp_replace(col(c), f"[{SPACE}]{{2,}}|[{SPACE}&&[^ ]]", " "))
 
 
 def normalize_whitespace(c: Column | str) -> Column:
@@ -41,16 +41,17 @@ def _nfkc():
     return F.pandas_udf(normalize, "string")
 
 
-def nfkc(c: Column | str) -> Column:
-    """NFKC; ASCII rows travel to Python as nulls."""
+def folded(c: Column | str, compatibility: bool = True) -> Column:
+    """Text without invisible characters, in NFKC form unless ``compatibility`` is off. ASCII rows have neither and pass as they are; to Python they travel as nulls."""
     c = col(c)
-    return F.coalesce(_nfkc()(F.when(c.rlike(r"[^\x00-\x7F]"), c)), c)
+    odd = F.octet_length(c) != F.length(c)
+    visible = normalize_invisible(c)
+    return F.when(odd, _nfkc()(F.when(odd, visible)) if compatibility else visible).otherwise(c)
 
 
 def clean_text(c: Column | str, compatibility: bool = True) -> Column:
     """Formatting only, never a word: white space, spaces at punctuation and brackets, ellipses. Null becomes empty. ``compatibility=False`` skips NFKC for text known to be in that form."""
-    x = normalize_invisible(c)
-    x = collapse(nfkc(x) if compatibility else x)
+    x = collapse(folded(c, compatibility))
     for pattern, by in (
         (f"[{SPACE}]+([,.;:!?%…])", "$1"),
         (r" ([)\]}])", "$1"),
@@ -64,9 +65,7 @@ def clean_text(c: Column | str, compatibility: bool = True) -> Column:
 
 def comparison_key(c: Column | str, compatibility: bool = True) -> Column:
     """Lower case, letters, digits and underscores only, single spaces; for comparing, never for output."""
-    x = normalize_invisible(c)
-    x = F.lower(nfkc(x) if compatibility else x)
-    return F.coalesce(collapse(F.regexp_replace(x, f"[^{WORD}{SPACE}]", " ")), F.lit(""))
+    return F.coalesce(collapse(F.regexp_replace(F.lower(folded(c, compatibility)), f"[^{WORD}{SPACE}]", " ")), F.lit(""))
 
 
 def tokens_of_key(key: Column | str) -> Column:

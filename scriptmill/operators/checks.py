@@ -92,7 +92,9 @@ def consistency(transcripts: DataFrame, bound: DataFrame, compatibility: bool =
     """(transcript_id, raw_text, joined, keys, ratio): how far text and segments agree; ratio is null where the text is blank."""
     both = transcripts.select("transcript_id", clean_text("text", compatibility).alias("raw_text")).join(joined_segments(bound), "transcript_id")
     key = lambda c: F.when(F.col("raw_text") != "", comparison_key(c, compatibility))
-    return both.select("*", key_similarity(key("raw_text"), key("joined")).alias("ratio"))
+    # keys as columns first: inside the similarity's branches they would be made again and again
+    both = both.select("*", key("raw_text").alias("_a"), key("joined").alias("_b"))
+    return both.select("*", key_similarity(F.col("_a"), F.col("_b")).alias("ratio")).drop("_a", "_b")
 
 
 def consistency_check(transcripts: DataFrame, bound: DataFrame, th: Thresholds = Thresholds(), compatibility: bool = True) -> DataFrame:
@@ -135,8 +137,8 @@ def duplicate_checks(groups: DataFrame, th: Thresholds = Thresholds(), compatibi
     """Findings of duplicate groups, and of copies that last very differently."""
     unlike = ~F.col("same_text")
     key = lambda c: F.when(unlike, comparison_key(c, compatibility))
-    ratio = F.coalesce(key_similarity(key("first_text"), key("last_text")), F.lit(1.0))
-    g = groups.withColumn("_ratio", ratio)
+    g = groups.withColumns({"_a": key("first_text"), "_b": key("last_text")})
+    g = g.withColumn("_ratio", F.coalesce(key_similarity(F.col("_a"), F.col("_b")), F.lit(1.0)))
     emit, exact = F.col("first_idx") * 2, F.col("same_text")
     return _rows(
         g,

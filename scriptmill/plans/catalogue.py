@@ -160,7 +160,8 @@ def _(spark, sf):
     """Neighbouring turns of a conversation."""
     s = adapters.seg_conversations(spark, sf)
     nxt = s.select("transcript_id", (F.col("idx") - 1).alias("idx"), F.col("text").alias("next_text"))
-    return s.join(nxt, ["transcript_id", "idx"]).select("transcript_id", "idx", similarity.similarity(F.col("text"), F.col("next_text")).alias("ratio"))
+    keys = s.join(nxt, ["transcript_id", "idx"]).select("transcript_id", "idx", text.comparison_key("text").alias("_a"), text.comparison_key("next_text").alias("_b"))
+    return keys.select("transcript_id", "idx", similarity.key_similarity(F.col("_a"), F.col("_b")).alias("ratio"))
 
 
 # --- numbers and times -----------------------------------------------------

@@ -51,17 +51,17 @@ def analyze(transcripts: DataFrame, segments: DataFrame, glossary: Glossary | No
     ``transcripts``: transcript_id, text, reference_s. ``segments``: the table
     of :mod:`scriptmill.sources.transcripts`. All window and grouping steps are
     keyed by transcript, so they share one partitioning. With a ``workspace``,
-    bound segments and findings are written once instead of being derived anew
+    transcripts, bound segments and findings are written once instead of being derived anew
     for every check and every later use.
     """
     th = thresholds or Thresholds()
     transcripts = transcripts.withColumn("transcript_id", F.col("transcript_id").cast("string"))
     bound = bind(_with_reference(segments.withColumn("transcript_id", F.col("transcript_id").cast("string")), transcripts), compatibility)
     if workspace is not None:
-        bound = workspace.save(bound, "segments")
+        transcripts, bound = workspace.save(transcripts, "transcripts"), workspace.save(bound, "segments")
     groups = checks.duplicate_groups(bound)
     parts = [
-        checks.structure_check(transcripts, segments.select(F.col("transcript_id").cast("string").alias("transcript_id"))),
+        checks.structure_check(transcripts, bound),
         checks.segment_checks(bound, th),
         checks.consistency_check(transcripts, bound, th, compatibility),
         checks.duplicate_checks(groups, th, compatibility),

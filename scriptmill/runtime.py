@@ -20,6 +20,16 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return df.select(*cols) if cols else df
 
 
+#: Estimated bytes up to which :func:`spread` deals a table out.
+SPREAD_BYTES = 256 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A small table on all cores. A file with a single row group is read by one task, however many cores wait; above SPREAD_BYTES files give tasks enough and the table stays as it is."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size <= SPREAD_BYTES else df
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable in Python workers, whatever folder they start in; once per application."""
     app = spark.sparkContext.applicationId

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from scriptmill.runtime import table
+from scriptmill.runtime import spread, table
 from scriptmill.sources.transcripts import segment_table
 
 
@@ -39,7 +39,7 @@ def seg_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tx_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as transcripts without segments."""
-    return table(spark, sf_dir, "documents", "doc_id", "text").select(F.col("doc_id").cast("string").alias("transcript_id"), F.coalesce("text", F.lit("")).alias("text"), F.lit(None).cast("double").alias("reference_s"))
+    return spread(table(spark, sf_dir, "documents", "doc_id", "text")).select(F.col("doc_id").cast("string").alias("transcript_id"), F.coalesce("text", F.lit("")).alias("text"), F.lit(None).cast("double").alias("reference_s"))
 
 
 def tx_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:

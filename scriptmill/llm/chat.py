@@ -158,3 +158,17 @@ def format_and_read_back(df: DataFrame) -> DataFrame:
     """Write the examples as a table in the shared folder and digest what is read from it."""
     ws = Workspace(df.sparkSession, "chat")
     return digests(ws.save(expand(df), "examples"))
+
+
+def op10_sql(control: list[tuple]) -> str:
+    """DuckDB: lengths of formatted turns summed over prefixes, digests over ordered texts. ``control``: rows added to the table."""
+    rows = ", ".join(f"({c}, {n}, '{r}', '{t}')" for c, n, r, t in control)
+    escaped = "replace(replace({0}, '\\', '\\\\'), '<|', '<\\|')"
+    return f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM (SELECT conv_id, turn, role, text FROM conversations UNION ALL SELECT * FROM (VALUES {rows}) v(conv_id, turn, role, text))),
+l AS (SELECT *, length({escaped.format("text")}) + length(replace({escaped.format("role")}, chr(10), '\\n')) + {len(START) + len(END) + 2} AS size FROM c),
+p AS (SELECT *, sum(size) OVER w AS prefix, lead(role) OVER w IS NULL AS final FROM l WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = '{ASSISTANT}'), 0)::BIGINT AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = '{ASSISTANT}'), '')) AS loss_sha256,
+  (sum(prefix) FILTER (role = '{ASSISTANT}' OR final))::BIGINT AS formatted_chars
+FROM p GROUP BY conv_id"""

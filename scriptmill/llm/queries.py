@@ -58,4 +58,4 @@ def op10_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_line_frequency, op2_winnowing, op3_suffix_array, op4_byte_bpe, op5_secret_scan, op6_arrow_sequences, op7_rendezvous, op8_simhash, op9_quality_trees, op10_prefix_targets)}
 
-SQL: dict[str, str] = {"op2_winnowing": winnowing.op2_sql(), "op7_rendezvous": sharding.op7_sql()}
+SQL: dict[str, str] = {"op1_line_frequency": line_frequency.op1_sql(), "op2_winnowing": winnowing.op2_sql(), "op3_suffix_array": suffix_array.op3_sql(), "op7_rendezvous": sharding.op7_sql(), "op10_prefix_targets": chat.op10_sql(CONTROL_TURNS)}

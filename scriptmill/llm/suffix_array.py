@@ -289,3 +289,19 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", hot:
     ws.drop("segments", "hot_segments")
     ws.sweep()
     return _strip(docs.join(marked, "_id", "left").join(copies, "_id", "left"), key, schema_of(docs, [key], "n_bytes long, n_removed long, n_spans long, kept_sha256 string"))
+
+
+def op3_sql() -> str:
+    """DuckDB: every 100-byte string as hex digits, all but the first of equal ones marked, marks merged to spans."""
+    return f"""
+WITH d AS (SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST, text) AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT rid, i, substr(h, 2 * i + 1, {2 * LENGTH}) AS s FROM (SELECT rid, h, unnest(range(0, length(h) // 2 - {LENGTH - 1})) AS i FROM d WHERE length(h) >= {2 * LENGTH})),
+later AS (SELECT rid, i FROM (SELECT rid, i, row_number() OVER (PARTITION BY s ORDER BY rid, i) AS n FROM w) WHERE n > 1),
+e AS (SELECT rid, i, lag(i) OVER (PARTITION BY rid ORDER BY i) + {LENGTH} AS upto FROM later),
+g AS (SELECT rid, i, sum(CASE WHEN upto IS NULL OR i > upto THEN 1 ELSE 0 END) OVER (PARTITION BY rid ORDER BY i) AS g FROM e),
+r AS (SELECT rid, g, min(i) AS a, max(i) + {LENGTH} AS b FROM g GROUP BY 1, 2),
+k AS (SELECT rid, string_agg(part, '' ORDER BY a) AS kept FROM (SELECT rid, a, substr(h, 2 * o + 1, 2 * (a - o)) AS part FROM (SELECT *, lag(b, 1, 0) OVER (PARTITION BY rid ORDER BY a) AS o FROM r) JOIN d USING (rid)) GROUP BY 1),
+t AS (SELECT rid, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS past FROM r GROUP BY 1)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(CASE WHEN past IS NULL THEN h ELSE kept || substr(h, 2 * past + 1) END)) AS kept_sha256
+FROM d LEFT JOIN t USING (rid) LEFT JOIN k USING (rid)"""

@@ -16,6 +16,7 @@ _SHIPPED: set[str] = set()
 
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     """A table of ``sf_dir``; with ``cols``, only these columns are read."""
+    ship(spark)
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*cols) if cols else df
 

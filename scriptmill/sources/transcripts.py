@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from scriptmill.functions.text import clean_text, comparison_key
 from scriptmill.functions.timing import duration, metadata_double, parse_timestamp, reference_duration
+from scriptmill.runtime import ship
 from scriptmill.schema import TranscriptFormatError
 
 
@@ -81,6 +82,7 @@ def parse_transcripts(files: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def read_transcripts(spark: SparkSession, path: str | list[str], strict: bool = True) -> tuple[DataFrame, DataFrame]:
     """Tables (transcripts, segments) of JSON files; the file path is the transcript id. ``strict`` raises on the first invalid artifact."""
+    ship(spark)
     files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("transcript_id"), F.col("value").alias("json"))
     transcripts, segments = parse_transcripts(files)
     if strict and (bad := transcripts.filter("error IS NOT NULL").select("transcript_id", "error").head(1)):

@@ -144,9 +144,10 @@ def _pairs(spark, sf):
     return p.union(swapped).distinct()
 
 
-@query("edit_distance_pairs", f"WITH {_PAIRS} SELECT a, b, CASE WHEN damerau_levenshtein(a, b) <= 1 THEN damerau_levenshtein(a, b)::INTEGER END AS one, CASE WHEN damerau_levenshtein(a, b) <= 2 THEN damerau_levenshtein(a, b)::INTEGER END AS two FROM q")
+@query("edit_distance_pairs", f"WITH {_PAIRS} SELECT a, b, CASE WHEN damerau_levenshtein(a, b) <= 1 THEN damerau_levenshtein(a, b)::INTEGER ELSE -1 END AS one, CASE WHEN damerau_levenshtein(a, b) <= 2 THEN damerau_levenshtein(a, b)::INTEGER ELSE -1 END AS two FROM q")
 def _(spark, sf):
-    return _pairs(spark, sf).select("a", "b", text.bounded_edit_distance("a", "b", 1).alias("one"), text.bounded_edit_distance("a", "b", 2).alias("two"))
+    far = lambda limit: F.coalesce(text.bounded_edit_distance("a", "b", limit), F.lit(-1))  # noqa: E731  beyond the limit
+    return _pairs(spark, sf).select("a", "b", far(1).alias("one"), far(2).alias("two"))
 
 
 @query("substring_counts", f"SELECT transcript_id, phrase, CASE WHEN phrase = '' OR k = '' THEN 0 ELSE (length(k) - length(replace(k, phrase, ''))) // length(phrase) END::BIGINT AS n FROM (SELECT transcript_id, {_sql_key('text')} AS k FROM ({_DOCS})), (VALUES ('of the'), ('th'), ('la'), ('')) v(phrase)")
@@ -554,9 +555,9 @@ def _(spark, sf):
     return spark.createDataFrame(pairs, "v string, a string").select("v", "a", timing.codec_plan("v", "a").alias("plan"))
 
 
-@query("error_class", "SELECT status::INTEGER AS status, CASE WHEN status IN (401, 403) THEN 'auth' WHEN status IS NULL OR status IN (408, 409, 425, 429, 500, 502, 503, 504) THEN 'retryable' ELSE 'permanent' END AS class FROM (SELECT unnest(range(400, 512)) AS status UNION ALL SELECT NULL)")
+@query("error_class", "SELECT coalesce(status, -1)::INTEGER AS status, CASE WHEN status IN (401, 403) THEN 'auth' WHEN status IS NULL OR status IN (408, 409, 425, 429, 500, 502, 503, 504) THEN 'retryable' ELSE 'permanent' END AS class FROM (SELECT unnest(range(400, 512)) AS status UNION ALL SELECT NULL)")
 def _(spark, sf):
-    return spark.range(400, 512).select(F.col("id").cast("int").alias("status")).union(spark.range(1).select(F.lit(None).cast("int"))).select("status", timing.error_class("status").alias("class"))
+    return spark.range(400, 512).select(F.col("id").cast("int").alias("status")).union(spark.range(1).select(F.lit(None).cast("int"))).select(F.coalesce("status", F.lit(-1)).alias("status"), timing.error_class("status").alias("class"))
 
 
 @query("backoff_schedule", "SELECT n::INTEGER AS attempt, least(30.0::DOUBLE, 2.0::DOUBLE * power(2, n - 1)) AS seconds FROM range(1, 9) r(n)")

@@ -156,7 +156,8 @@ def classes(df: DataFrame, ws: Workspace, key: str = "doc_id", text: str = "text
     roots = components(links(nodes.select("fp"), ws, hot), ws)
     placed = ws.save(nodes.join(roots, nodes["fp"] == roots["u"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "_least"), "placed")
     least = placed.groupBy("root").agg(F.min("_least").alias("component_id"))
-    return docs.join(placed.join(least, "root").select("fp", "component_id"), "fp").select(key, "fp", "component_id")
+    named = ws.save(placed.join(least, "root").select("fp", "component_id"), "named")  # a table, so that the join with a very common fingerprint can be split
+    return docs.join(named, "fp").select(key, "fp", "component_id")
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:

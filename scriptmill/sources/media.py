@@ -34,6 +34,14 @@ def parse_probe(df: DataFrame, probe: str = "probe") -> DataFrame:
     )
 
 
+def metadata_document(probed: DataFrame, key: str) -> DataFrame:
+    """(key, document): what :func:`parse_probe` found, as one struct, schema version 1."""
+    rounded = lambda c: F.round(c, 3).alias(c)
+    video = F.struct(F.col("video_codec").alias("codec"), "width", "height", rounded("fps"))
+    audio = F.struct(F.col("audio_codec").alias("codec"), "channels", "sample_rate")
+    return probed.select(key, F.struct(F.lit(1).alias("schema_version"), F.lit("media_metadata").alias("artifact_type"), rounded("duration"), "size", "format", F.when(F.col("video_codec").isNotNull(), video).alias("video"), F.when(~F.col("no_audio"), audio).alias("audio")).alias("document"))
+
+
 def select_one(candidates: Sequence[str], name: str | None = None, size: Callable[[str], int] = os.path.getsize) -> str:
     """The one input: by name, or the only candidate; it must have a plausible size."""
     if name is not None:

@@ -13,6 +13,8 @@ from scriptmill.sources.transcripts import list_candidates, normalize_response
 def test_probe(spark):
     probe = {"streams": [{"codec_type": "video", "codec_name": "png", "disposition": {"attached_pic": 1}}, {"codec_type": "video", "codec_name": "h264", "width": "640", "avg_frame_rate": "30/1", "duration": "9.5"}, {"codec_type": "audio", "codec_name": "aac", "channels": "2"}], "format": {"duration": "N/A", "size": "2048"}}
     r = media.parse_probe(spark.createDataFrame([("x", json.dumps(probe)), ("y", "{}")], "id string, probe string")).orderBy("id").collect()
+    d = media.metadata_document(media.parse_probe(spark.createDataFrame([("x", json.dumps(probe))], "id string, probe string")), "id").first().document
+    assert d.video.codec == "h264" and d.audio.channels == 2 and d.schema_version == 1
     assert (r[0].duration, r[0].video_codec, r[0].fps, r[0].channels, r[0].no_audio) == (9.5, "h264", 30.0, 2, False) and r[1].no_audio
 
 

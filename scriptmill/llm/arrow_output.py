@@ -21,6 +21,7 @@ besides key and text are ignored.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
 
@@ -38,6 +39,8 @@ from scriptmill.runtime import Workspace, ship
 
 SEQUENCE, BATCH = 1024, 256  # ids a sequence, sequences a record batch
 MEMO = 500_000
+#: Lower-case ASCII letters, then punctuation other than an apostrophe.
+PLAIN = re.compile(rb"([a-z]+)([!-&(-/:-@\[-`{-~]*)")
 #: Stands between words that are encoded together.
 MARK = "\x01"
 
@@ -62,6 +65,9 @@ class ChunkEncoder:
             raise ValueError("the tokenizer splits the mark")
         self.mark = mark[0]
         self.memo: dict[bytes, bytes] = {}
+        # only for tokenizers that split letters from punctuation and take ASCII as it is
+        probes = ["word", "word.", "unlikelyword,", "a!?", "x)", "the...", 'end."', "q_", "z-", "if;", "w{}", "k~`", "h|", "j\\", "n@", "m#$%^&*(+=[]:</>"]
+        self.direct = all([i for p in PLAIN.fullmatch(x.encode()).groups() if p for i in (t.id for t in self.t.model.tokenize(p.decode()))] == self.t.encode(x, add_special_tokens=False).ids for x in probes)
         self.old: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[str], end: int) -> list[bytes]:
@@ -73,6 +79,8 @@ class ChunkEncoder:
                 memo[w] = self.old[w]
             else:
                 missing.append(w)
+        if self.direct:
+            missing = [w for w in missing if not self._plain(w)]
         for i in range(0, len(missing), 512):
             memo.update(self._fresh(missing[i : i + 512]))
         out = [b"".join(map(memo.__getitem__, w)) + tail for w in words]
@@ -80,6 +88,24 @@ class ChunkEncoder:
             self.old, self.memo = {k: v for k, v in memo.items() if len(k) <= 64}, {}
         return out
 
+    def _ids(self, piece: bytes) -> bytes:
+        """Ids of one pre-token, straight from the library's model."""
+        found = self.memo.get(piece)
+        if found is None:
+            found = self.memo[piece] = np.array([t.id for t in self.t.model.tokenize(piece.decode())], self.width).tobytes()
+        return found
+
+    def _plain(self, word: bytes) -> bool:
+        """Remember a word of ASCII letters and punctuation behind them, whose pre-tokens are plain to see; False for any other."""
+        m = PLAIN.fullmatch(word)
+        if m is None:
+            return False
+        if m[2]:
+            self.memo[word] = self._ids(m[1]) + self._ids(m[2])
+        else:
+            self._ids(word)
+        return True
+
     def _fresh(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Ids of distinct words from one call: a mark between them, a token of its own, tells them apart."""
         plain = [w for w in words if MARK.encode() not in w]

@@ -463,9 +463,10 @@ def _(spark, sf):
 # --- verification and preparation ------------------------------------------
 
 def _verified(spark, sf):
-    """Orders with duplicates against a second transcription: complete, without its last word, blank, or with names of one word more."""
-    seg = transcripts.bind(adapters.seg_lineitem(spark, sf, "idx").withColumn("reference_s", F.lit(REFERENCE_S)), compatibility=False)
-    tx = adapters.tx_lineitem(seg)
+    """Orders with duplicates against a second transcription: complete, without its last word, blank, or with names of one word more. Segments and texts feed many branches, so they are written once."""
+    ws = Workspace(spark, "orders")
+    seg = ws.save(transcripts.bind(adapters.seg_lineitem(spark, sf, "idx").withColumn("reference_s", F.lit(REFERENCE_S)), compatibility=False), "segments")
+    tx = ws.save(adapters.tx_lineitem(seg), "texts")
     k = F.col("transcript_id").cast("long") % 4
     alt = tx.select("transcript_id", F.when(k == 0, F.col("text")).when(k == 1, F.regexp_replace("text", " [^ ]+$", "")).when(k == 2, "").otherwise(F.replace("text", F.lit(" "), F.lit(" x "))).alias("text"))
     groups = checks.duplicate_groups(seg)

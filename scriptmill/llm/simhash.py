@@ -166,10 +166,11 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", hot:
     return out.select(key, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def one_per_class(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``df`` that are the smallest of their component; of rows with an equal key, the one with the smallest text hash."""
+def one_per_class(df: DataFrame, key: str = "doc_id", text: str = "text", find=None) -> DataFrame:
+    """The rows of ``df`` that are the smallest of their component, by ``find`` (:func:`classes` unless given); of rows with an equal key, the one with the smallest text hash."""
     from pyspark.sql.window import Window
 
-    keep = classes(df, Workspace(df.sparkSession, "simhash"), key, text).filter(F.col(key).eqNullSafe(F.col("component_id"))).select(key).distinct()
+    found = (find or classes)(df, Workspace(df.sparkSession, "simhash"), key, text)
+    keep = found.filter(F.col(key).eqNullSafe(F.col("component_id"))).select(key).distinct()
     kept = df.join(keep, df[key].eqNullSafe(keep[key]), "left_semi")
     return kept.withColumn("__simhash_at", F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64(text)))).filter("__simhash_at = 1").drop("__simhash_at")

@@ -17,9 +17,10 @@ Whole copies are set apart first: of equal texts the first document stays and
 the others lose all their bytes, and an anchor counts as repeated only if it
 occurs in different texts or at different places.
 
-An anchor with more than ``HOT`` segments does not go to one task: its
+An anchor with more than ``HOT`` bytes of segments does not go to one task: its
 segments are collapsed by aggregation, and what is distinct is spread by the
-digests of its strings, also exactly.
+digests of its strings, also exactly. The limit leaves room for what is sorted
+beside an anchor, so no shard outgrows the packed triples.
 
 Phases are tables in the shared folder. No text, anchor or link reaches the
 driver.
@@ -40,13 +41,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scriptmill.llm.batches import schema_of, slices
-from scriptmill.llm.difference_cover import suffix_array
+from scriptmill.llm.difference_cover import MAX_SYMBOLS, suffix_array
 from scriptmill.runtime import Workspace, ship
 
 LENGTH, GRAM = 100, 32
 GRAMS = LENGTH - GRAM + 1
-HOT = 20_000
 SHARD_BYTES = 1_000_000  # bytes sorted at once
+HOT = MAX_SYMBOLS - SHARD_BYTES  # bytes of an anchor's segments with their separators
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -279,7 +280,7 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", hot:
     segments = ws.save(_cut_segments(docs.join(runs, "_id")), "segments")
     ws.drop("repeated")
     ws.sweep()
-    large = ws.save(segments.groupBy("h").agg(F.count("*").alias("_n")).filter(F.col("_n") > hot).select("h"), "hot")
+    large = ws.save(segments.groupBy("h").agg(F.sum(F.octet_length("segment") + 1).alias("_n")).filter(F.col("_n") > hot).select("h"), "hot")
     split = bool(large.head(1))
     cold = segments.join(large, "h", "left_anti") if split else segments
     marked = cold.repartition("h").sortWithinPartitions("h").select("h", "segment", "_id", "start").mapInArrow(_sort_shards, "id long, start long, n long").withColumnRenamed("id", "_id")

@@ -73,3 +73,18 @@ def test_anchors_cover_every_string():
             by_string.setdefault(texts[d][i : i + 100], set()).add(x)
     assert int(n.sum()) == sum(max(0, len(t) - 99) for t in texts)
     assert all(len(x) == 1 for x in by_string.values())
+
+
+def test_anchor_of_many_distinct_segments(spark):
+    """A passage in 13,000 documents with other bytes around it in each: fewer segments than 20,000, more bytes than one sort takes."""
+    rng = random.Random(5)
+    letters = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    pool = letters(300_000)
+    data = np.frombuffer(pool.encode(), np.uint8)
+    h = S._mix(S._eights(data)[:-8], S._eights(data)[8:])
+    at = int(S._mix(h[:-16], h[16:]).argmin())  # a passage that is the anchor of all strings around it
+    sides = [(letters(70), letters(70)) for _ in range(13_000)]
+    sides[-100:] = [(a, letters(70)) for a, _ in sides[:100]]
+    rows = [(i, a + pool[at : at + S.GRAM] + b) for i, (a, b) in enumerate(sides)]
+    got = sorted(tuple(r) for r in S.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect())
+    assert got == direct(rows) and sum(x[2] > 0 for x in got) == 100

@@ -3,9 +3,9 @@
 One pass over the texts takes the base counts of every document and the hashes
 of its normalised lines (ASCII lower case, runs of white space as one space,
 digits as 0). Lines are then counted by distinct documents of a host, where
-documents that share their longest line count once: copies of one document
-must not make its own lines look like boilerplate. Lines above the host's
-limit are removed, and a document that keeps too little is rejected.
+documents with the same whole text count once: copies of one document must not
+make its own lines look like boilerplate. Lines above the host's limit are
+removed, and a document that keeps too little is rejected.
 
 The limit of a host is ``max(min_docs, share * its distinct documents)``.
 Counting is by partial aggregates, so neither a hot host nor a hot line meets
@@ -73,12 +73,11 @@ def base_counts(text: str) -> tuple[int, int, int, int, int]:
 
 
 def line_hashes(text: str) -> tuple[list[int], list[int], int]:
-    """Hashes and word counts of the normalised lines that have words, and the hash of the longest line as it stands."""
+    """Hashes and word counts of the normalised lines that have words, and the hash of the whole text."""
     hashed = lambda x: xxhash.xxh64_intdigest(x) - (1 << 63)
     raw = text.encode()
     lines = [b" ".join(x) for x in map(bytes.split, raw.translate(_NORMAL).split(b"\n")) if x]
-    top = max((x.strip(SPACE) for x in raw.split(b"\n")), key=lambda x: (len(x), x))
-    return [hashed(x) for x in lines], [x.count(b" ") + 1 for x in lines], hashed(top)
+    return [hashed(x) for x in lines], [x.count(b" ") + 1 for x in lines], hashed(raw)
 
 
 def _make():

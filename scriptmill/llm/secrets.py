@@ -11,7 +11,8 @@ Calibration (a logistic fit) and the threshold, the highest that keeps
 A candidate longer than the network's window is scored window by window with
 overlap and takes the highest score, so texts and candidates count whole.
 Spans of the fixed patterns always stay; the network only adds spans, of kind
-``model``, where they touch none of the fixed ones.
+``model``: a candidate, or what fixed spans leave of it. Beside an assignment,
+whose span holds the whole value, less than a candidate's length does not count.
 
 Defined cases: a null text is empty and has no spans; rows are independent, so
 repeated rows, ties, null ids and further columns do not matter; an empty
@@ -34,7 +35,8 @@ KINDS = ("assign", "access", "hex", "model")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
+CANDIDATE = 16
+_CANDIDATE = re.compile(rf"[A-Za-z0-9+/_.=-]{{{CANDIDATE},}}")
 LEFT, BODY, RIGHT = 24, 40, 8
 RECALL = 0.97
 
@@ -189,24 +191,35 @@ def trained(n: int = 3000, epochs: int = 6, seed: int = 7) -> Network:
 
 # --- the scan --------------------------------------------------------------
 
+def _outside(start: int, end: int, base) -> tuple[tuple[int, int], ...]:
+    """The parts of a candidate outside the fixed spans; beside assignments only those of a candidate's length."""
+    touching = [s for s in base if s[0] < end and start < s[2]]
+    least = 1 if any(k for _, k, _ in touching) else CANDIDATE
+    out, at = [], start
+    for a, _, b in touching:
+        out.append((at, a))
+        at = max(at, b)
+    return tuple((a, b) for a, b in [*out, (at, end)] if b - a >= least)
+
+
 def scan(texts: list[str], net: Network) -> list[list[tuple[int, int, int]]]:
     """All spans (start, kind, end) of each text, by start and then kind."""
     found, rows, owners = [], [], []
     for i, text in enumerate(texts):
         base = base_spans(text)
-        found.append(base)
-        taken = [(a, b) for a, _, b in base]
+        found.append(list(base))
         for m in _CANDIDATE.finditer(text):
-            if any(a < m.end() and m.start() < b for a, b in taken):
+            parts = _outside(m.start(), m.end(), base)
+            if not parts:
                 continue
             for w in windows(text, m.start(), m.end()):
                 rows.append(w)
-                owners.append((i, m.start(), m.end()))
+                owners.append((i, parts))
     if rows:
         scores = net.scores(np.stack(rows))
         added = {owners[j] for j in np.flatnonzero(scores >= net.threshold).tolist()}
-        for i, a, b in sorted(added):
-            found[i].append((a, 3, b))
+        for i, parts in sorted(added):
+            found[i] += [(a, 3, b) for a, b in parts]
     return [sorted(x) for x in found]
 
 

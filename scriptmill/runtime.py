@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
 import gc
 import os
 import tempfile
@@ -21,14 +20,10 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return df.select(*cols) if cols else df
 
 
-#: Estimated bytes up to which :func:`spread` deals a table out.
-SPREAD_BYTES = 256 << 20
-
-
 def spread(df: DataFrame) -> DataFrame:
-    """A small table on all cores. A file with a single row group is read by one task, however many cores wait; above SPREAD_BYTES files give tasks enough and the table stays as it is."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size <= SPREAD_BYTES else df
+    """A table on all cores: one that is read in fewer partitions than there are cores is dealt out, any other stays as it is. A file with a single row group would be read by one task, however many cores wait."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def ship(spark: SparkSession) -> None:
@@ -51,36 +46,52 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir of the session, or a temporary one where it is unset (local runs)."""
+    """The folder that driver and executors share: spark.checkpoint.dir of the session. Only a local session may leave it unset and gets a temporary one; on a cluster that would be a different folder on every machine, so it is an error."""
     sc = spark.sparkContext
     set_ = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if set_:
         return set_.rstrip("/")
     own = sc._jsc.sc().getCheckpointDir()
     if not own.isDefined():
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="scriptmill-shared-"))
         own = sc._jsc.sc().getCheckpointDir()
     return own.get().rstrip("/")
 
 
+def _hadoop(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with the scheme of the file system that Spark takes it to, so that other readers of the same path reach the same store."""
+    p, fs = _hadoop(spark, path)
+    out = fs.makeQualified(p).toString()
+    return "file://" + out.removeprefix("file:") if out.startswith("file:/") and not out.startswith("file://") else out
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a folder through Spark's file system, so that any store works."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    p, fs = _hadoop(spark, path)
+    fs.delete(p, True)
 
 
 class Workspace:
     """Tables in the shared folder that cut lineage: a lost executor costs a reread, not a recomputation.
 
     Tables live until :meth:`drop` or the end of the process, because lazily
-    returned results still read them.
+    returned results still read them. Spark's file system removes them with
+    the JVM, also where the session was stopped before.
     """
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.base = f"{shared_dir(spark)}/scriptmill-{label}-{uuid.uuid4().hex[:12]}"
-        atexit.register(self._close)
+        p, fs = _hadoop(spark, self.base)
+        fs.mkdirs(p)
+        fs.deleteOnExit(p)
 
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
@@ -90,17 +101,13 @@ class Workspace:
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:
+        """Remove some tables, or all of them."""
         for n in names:
             delete(self.spark, self.path(n))
+        if not names:
+            delete(self.spark, self.base)
 
     def sweep(self) -> None:
         """Let Spark remove the shuffle files of frames that are no longer referenced."""
         gc.collect()
         self.spark.sparkContext._jvm.System.gc()
-
-    def _close(self) -> None:
-        try:
-            if self.spark.sparkContext._jsc is not None:
-                delete(self.spark, self.base)
-        except Exception:  # noqa: BLE001  the JVM may be gone at exit
-            pass

@@ -3,9 +3,9 @@
 Documents are range-partitioned and sorted by key, so that file after file
 holds the token stream in key order. A file is an Arrow IPC file whose record
 batches have two fixed-size-list columns: ``ids`` (``SEQUENCE`` ids each) and
-``mask`` (false only on the padding that ends the file's last sequence). The
-k-th sequence of a file is thus a slice of one memory-mapped buffer: random
-access without copying. A second small file per part lists its documents
+``mask`` (a byte each, 0 only on the padding that ends the file's last
+sequence). The k-th sequence and its mask are thus slices of memory-mapped
+buffers: random access without copying. A second small file per part lists its documents
 (key, first id, number of ids).
 
 Files are written under the session's shared folder with a temporary name and
@@ -13,15 +13,14 @@ moved into place, so a task that runs again replaces its own file. Sequences
 do not cross files; the offset of a file in the stream is the sum of the
 counts before it (a list with one entry a file on the driver).
 
-Defined cases: a null text has only the end id; equal keys are ordered by
-text; null keys come first; an empty table gives no files and no rows; columns
+Defined cases: a null text has only the end id; equal keys are ordered by the
+hash of their text, then the text; null keys come first; an empty table gives no files and no rows; columns
 besides key and text are ignored.
 """
 
 from __future__ import annotations
 
 import os
-import re
 import uuid
 import zlib
 
@@ -35,12 +34,10 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import LongType, StructField, StructType
 
 from scriptmill.llm.batches import slices
-from scriptmill.runtime import Workspace, ship
+from scriptmill.runtime import Workspace, qualified, ship
 
 SEQUENCE, BATCH = 1024, 256  # ids a sequence, sequences a record batch
 MEMO = 500_000
-#: Lower-case ASCII letters, then punctuation other than an apostrophe.
-PLAIN = re.compile(rb"([a-z]+)([!-&(-/:-@\[-`{-~]*)")
 #: Stands between words that are encoded together.
 MARK = "\x01"
 
@@ -50,7 +47,9 @@ class ChunkEncoder:
 
     Valid for tokenizers that lower-case and whose normaliser and pre-tokeniser
     treat ASCII white space only as a separator, so that no token spans it and
-    no rule looks across it; the tests compare with encoding whole texts.
+    no rule looks across it; the tests compare with encoding whole texts. A
+    text that holds the string of an added token (in either case) is encoded
+    whole, because such strings are found before anything else.
     """
 
     def __init__(self, path: str):
@@ -58,20 +57,19 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.t = Tokenizer.from_file(path)
-        self.t.encode_special_tokens = True
+        self.added = [x.content.lower().encode() for x in self.t.get_added_tokens_decoder().values()]
         self.width = np.dtype("<u2") if self.t.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         mark = self.t.encode(MARK, add_special_tokens=False).ids
         if len(mark) != 1:
             raise ValueError("the tokenizer splits the mark")
         self.mark = mark[0]
         self.memo: dict[bytes, bytes] = {}
-        # only for tokenizers that split letters from punctuation and take ASCII as it is
-        probes = ["word", "word.", "unlikelyword,", "a!?", "x)", "the...", 'end."', "q_", "z-", "if;", "w{}", "k~`", "h|", "j\\", "n@", "m#$%^&*(+=[]:</>"]
-        self.direct = all([i for p in PLAIN.fullmatch(x.encode()).groups() if p for i in (t.id for t in self.t.model.tokenize(p.decode()))] == self.t.encode(x, add_special_tokens=False).ids for x in probes)
         self.old: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[str], end: int) -> list[bytes]:
-        words = [_folded(x.encode()).split() for x in texts]
+        folded = [_folded(x.encode()) for x in texts]
+        whole = {i for i, x in enumerate(folded) if any(a in x.lower() for a in self.added)}
+        words = [[] if i in whole else x.split() for i, x in enumerate(folded)]
         memo, tail = self.memo, np.array([end], self.width).tobytes()
         missing = []
         for w in set().union(*words).difference(memo) if words else ():
@@ -79,37 +77,20 @@ class ChunkEncoder:
                 memo[w] = self.old[w]
             else:
                 missing.append(w)
-        if self.direct:
-            missing = [w for w in missing if not self._plain(w)]
         for i in range(0, len(missing), 512):
             memo.update(self._fresh(missing[i : i + 512]))
-        out = [b"".join(map(memo.__getitem__, w)) + tail for w in words]
+        out = [(self._library(texts[i]) if i in whole else b"".join(map(memo.__getitem__, w))) + tail for i, w in enumerate(words)]
         if len(memo) > MEMO:
             self.old, self.memo = {k: v for k, v in memo.items() if len(k) <= 64}, {}
         return out
 
-    def _ids(self, piece: bytes) -> bytes:
-        """Ids of one pre-token, straight from the library's model."""
-        found = self.memo.get(piece)
-        if found is None:
-            found = self.memo[piece] = np.array([t.id for t in self.t.model.tokenize(piece.decode())], self.width).tobytes()
-        return found
-
-    def _plain(self, word: bytes) -> bool:
-        """Remember a word of ASCII letters and punctuation behind them, whose pre-tokens are plain to see; False for any other."""
-        m = PLAIN.fullmatch(word)
-        if m is None:
-            return False
-        if m[2]:
-            self.memo[word] = self._ids(m[1]) + self._ids(m[2])
-        else:
-            self._ids(word)
-        return True
+    def _library(self, text: str) -> bytes:
+        return np.array(self.t.encode(text, add_special_tokens=False).ids, self.width).tobytes()
 
     def _fresh(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Ids of distinct words from one call: a mark between them, a token of its own, tells them apart."""
         plain = [w for w in words if MARK.encode() not in w]
-        found = {w: np.array(self.t.encode(w.decode(), add_special_tokens=False).ids, self.width).tobytes() for w in words if MARK.encode() in w}
+        found = {w: self._library(w.decode()) for w in words if MARK.encode() in w}
         if plain:
             ids = np.array(self.t.encode_batch_fast([f" {MARK} ".join([w.decode() for w in plain])], add_special_tokens=False)[0].ids, self.width)
             cut = np.flatnonzero(ids == self.mark) * ids.itemsize
@@ -139,7 +120,7 @@ class _Stream:
 
     def __init__(self, fs, path: str, width):
         item = pa.from_numpy_dtype(width)
-        self.schema = pa.schema([("ids", pa.list_(item, SEQUENCE)), ("mask", pa.list_(pa.bool_(), SEQUENCE))])
+        self.schema = pa.schema([("ids", pa.list_(item, SEQUENCE)), ("mask", pa.list_(pa.uint8(), SEQUENCE))])
         self.out = fs.open_output_stream(path)
         self.writer = pa.ipc.new_file(self.out, self.schema)
         self.width, self.held, self.size = width, [], 0
@@ -153,7 +134,7 @@ class _Stream:
     def cut(self, n: int) -> None:
         """Write the first n ids held; beyond those held, padding."""
         ids = np.concatenate([*self.held, np.zeros(max(0, n - self.size), self.width)])
-        mask = np.arange(n) < self.size
+        mask = (np.arange(n) < self.size).view(np.uint8)
         for i in range(0, n, SEQUENCE * BATCH):
             part = slice(i, min(n, i + SEQUENCE * BATCH))
             self.writer.write_batch(pa.record_batch([pa.FixedSizeListArray.from_arrays(pa.array(ids[part]), SEQUENCE), pa.FixedSizeListArray.from_arrays(pa.array(mask[part]), SEQUENCE)], schema=self.schema))
@@ -196,7 +177,7 @@ def write_sequences(df: DataFrame, folder: str, tokenizer: str, end_id: int, key
             fs.move(f"{draft}.{kind}", f"{base}/part-{part:06d}.{kind}")
         yield pa.record_batch({"part": pa.array([part], pa.int64()), "n_docs": pa.array([len(n)], pa.int64()), "n_ids": pa.array([int(n.sum())], pa.int64())})
 
-    rows = df.select(key, text, F.xxhash64(text).alias("_tie")).repartitionByRange(key, "_tie").sortWithinPartitions(key, text).select(key, text)
+    rows = df.select(key, text, F.xxhash64(text).alias("_tie")).repartitionByRange(key, "_tie").sortWithinPartitions(key, "_tie", text).select(key, text)
     return sorted(rows.mapInArrow(run, "part long, n_docs long, n_ids long").collect(), key=lambda r: r.part)
 
 
@@ -214,11 +195,10 @@ class SequenceFile:
         return int(self.starts[-1])
 
     def sequence(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids (a view) and mask of the k-th sequence."""
+        """Ids and mask of the k-th sequence, both views."""
         at = int(np.searchsorted(self.starts, k, "right")) - 1
         b, i = self.batches[at], k - int(self.starts[at])
-        ids = b.column(0).flatten().slice(i * SEQUENCE, SEQUENCE).to_numpy()
-        return ids, b.column(1).flatten().slice(i * SEQUENCE, SEQUENCE).to_numpy(zero_copy_only=False)
+        return tuple(b.column(c).flatten().slice(i * SEQUENCE, SEQUENCE).to_numpy() for c in (0, 1))
 
     def ids(self, first: int, n: int) -> np.ndarray:
         """n ids of the file's stream from ``first`` on."""
@@ -264,6 +244,5 @@ def read_documents(spark, folder: str, files: list, key: StructField) -> DataFra
 def round_trip(df: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Write the files into the session's shared folder and read every document back."""
     ws = Workspace(df.sparkSession, "sequences")
-    folder = ws.path("files")
-    folder = folder if "://" in folder else ("file://" + folder.removeprefix("file:"))
+    folder = qualified(df.sparkSession, ws.path("files"))
     return read_documents(df.sparkSession, folder, write_sequences(df, folder, tokenizer, end_id, key, text), df.schema[key])

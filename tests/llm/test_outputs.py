@@ -7,20 +7,21 @@ import duckdb
 import numpy as np
 import public_tokenizers as P
 import pytest
+import xxhash
 from tokenizers import Tokenizer
 
+from scriptmill import runtime
 from scriptmill.llm import arrow_output as A
 from scriptmill.llm import chat, sharding
 from scriptmill.llm.queries import CONTROL_TURNS
-from scriptmill.runtime import Workspace
+from scriptmill.runtime import Workspace, qualified
 
 VOCABULARY = P.path("word_bpe_49k.json")
 
 
 def test_chunks_equal_whole_texts():
     t = Tokenizer.from_file(VOCABULARY)
-    t.encode_special_tokens = True
-    texts = ["", " ", "Hello, World! it's", "É é J̌ İ K", "a\x01b \x01 c", "x\x1cy\x85z w\xa0v", "<|endoftext|> #", "日本語 ﬁ ẞ Σς ΑΣ", "A" * 3000, "1234 5a6", "́ lone mark ́", "tab\tline\nfeed\x0b\x0c"]
+    texts = ["", " ", "Hello, World! it's", "É é J̌ İ K", "a\x01b \x01 c", "x\x1cy\x85z w\xa0v", "<|endoftext|> #", "hello <|endoftext|> world", "a<|startoftext|>b <|ENDOFTEXT|>", "<|endoftext|" , "word. word, don't (x) [y]- z~`!", "日本語 ﬁ ẞ Σς ΑΣ", "A" * 3000, "1234 5a6", "́ lone mark ́", "tab\tline\nfeed\x0b\x0c"]
     e = A.ChunkEncoder(VOCABULARY)
     for _ in range(2):
         got = e.encode(texts, 2)
@@ -33,7 +34,8 @@ def test_round_trip(spark):
     rows = [(i * 3 % 50, f"text number {i} " * (i % 7 * 40)) for i in range(50)] + [(None, None), (7, "again"), (7, "again")]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS start").repartition(4)
     got = sorted(A.round_trip(df, VOCABULARY, 2).collect(), key=lambda r: r.start)
-    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    signed = lambda x: (h := xxhash.xxh64_intdigest((x or "").encode(), 42)) - (h >> 63 << 64) if x is not None else 42
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, signed(r[1])))
     ids = [[*t.encode(x or "", add_special_tokens=False).ids, 2] for _, x in order]
     assert [r.doc_id for r in got] == [k for k, _ in order] and [r.n_tokens for r in got] == [len(i) for i in ids]
     assert [r.start for r in got] == np.cumsum([0, *map(len, ids)])[:-1].tolist()
@@ -42,19 +44,26 @@ def test_round_trip(spark):
 
 
 def test_random_access(spark):
-    folder = "file://" + Workspace(spark, "sequences").path("x").removeprefix("file:").replace("///", "/").removeprefix("//")
+    folder = qualified(spark, Workspace(spark, "sequences").path("x"))
     files = A.write_sequences(spark.createDataFrame([(i, "word " * 700) for i in range(9)], "doc_id long, text string").coalesce(1), folder, VOCABULARY, 2)
     total = 0
     for f in files:
         s = A.SequenceFile(f"{folder}/part-{f.part:06d}.arrow")
         masks = [s.sequence(k)[1] for k in range(len(s))]
         assert all(len(s.sequence(k)[0]) == A.SEQUENCE and not s.sequence(k)[0].flags.owndata for k in range(len(s)))
-        assert all(m.all() for m in masks[:-1]) and sum(int(m.sum()) for m in masks) == f.n_ids
-        assert s.ids(0, f.n_ids)[:f.n_ids].tolist() == np.concatenate([s.sequence(k)[0][m] for k, m in enumerate(masks)]).tolist()
+        assert not any(m.flags.owndata for m in masks) and all(m.all() for m in masks[:-1]) and sum(int(m.sum()) for m in masks) == f.n_ids
+        assert s.ids(0, f.n_ids)[:f.n_ids].tolist() == np.concatenate([s.sequence(k)[0][m > 0] for k, m in enumerate(masks)]).tolist()
         total += f.n_ids
     assert total == 9 * 701
 
 
+def test_path_without_scheme(spark, tmp_path, monkeypatch):
+    """A folder without a scheme is taken to Spark's default file system, for writing and reading alike."""
+    monkeypatch.setattr(runtime, "shared_dir", lambda _: str(tmp_path))
+    got = A.round_trip(spark.createDataFrame([(1, "one two"), (2, "é " * 90_000)], "doc_id long, text string"), VOCABULARY, 2).orderBy("doc_id").collect()
+    assert [r.n_tokens for r in got] == [3, 90_001] and list(tmp_path.glob("*/files/part-*.arrow"))
+
+
 def test_chat(spark):
     rows = [(1, 0, "system", "be \\ kind <|"), (1, 1, "user", "hi\n<|im_end|>"), (1, 2, "assistant", "héllo"), (1, 3, "user", None), (1, 4, "assistant", "\\n <|im_start|>x"), (1, 5, "user", "bye"), (2, 0, "user", "only"), (3, 1, "assistant", "b"), (3, 1, "assistant", "a"), (3, 1, "assistant", "a"), (None, 0, None, "x"), (3, None, "user", "first"), (4, 0, "odd\nrole<|", "t" * 5000), *CONTROL_TURNS]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "1 AS example")

@@ -10,9 +10,13 @@ halves (0-3) and (4-7) suffice, since any 5 of 8 positions have 3 in one half.
 
 A list with more than ``HOT`` fingerprints is posted again under the pairs of
 its five other positions; nothing is lost, because a retained pair shares two
-of them. Within a list, fingerprints are compared in blocks, and what leaves it
-is a spanning forest of the links rather than all pairs: reachability is kept,
-and the output is linear however dense a group is.
+of them. Such a list holds five bytes fixed, so it has at most 2**24
+fingerprints (128 MB), however many documents there are. Within a list,
+fingerprints are compared in blocks; in a list beyond ``DENSE`` with at most 24
+bits free, each is looked up under all changes of up to 3 of them instead,
+which is linear in the list. What leaves a list is a spanning forest of the
+links rather than all pairs: reachability is kept, and the output is linear
+however dense a group is.
 
 Equal fingerprints are one node from the start, so copies never meet pairwise.
 
@@ -32,6 +36,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from scriptmill.llm.batches import map_texts, schema_of
 from scriptmill.llm.components import components
@@ -40,6 +45,7 @@ from scriptmill.runtime import Workspace, ship
 SHINGLE, SEED, BITS, BYTES_SHARED = 3, 42, 3, 5
 TRIPLES = [*combinations(range(4), 3), *combinations(range(4, 8), 3)]
 HOT = 20_000
+DENSE = 50_000
 BLOCK = 1 << 22  # comparisons at once
 
 
@@ -81,8 +87,34 @@ def _near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return ok
 
 
+def _changes(fps: np.ndarray, free: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect the components of sorted distinct fingerprints which differ in the ``free`` bits only: a look-up for every change of at most BITS of them."""
+    n, us, vs = len(fps), [], []
+    label, at = np.arange(n), np.arange(n)
+    for bits in (c for size in range(1, BITS + 1) for c in combinations(free, size)):
+        other = fps ^ np.uint64(sum(1 << b for b in bits))
+        j = np.minimum(np.searchsorted(fps, other), n - 1)
+        i = np.flatnonzero((fps[j] == other) & (j > at) & (label[j] != label))
+        if not len(i):
+            continue
+        j = j[i]
+        us.append(fps[j])
+        vs.append(fps[i])
+        while (unlike := label[i] != label[j]).any():  # hang the larger label under the smaller one, then shorten all paths
+            i, j = i[unlike], j[unlike]
+            np.minimum.at(label, np.maximum(label[i], label[j]), np.minimum(label[i], label[j]))
+            while (label[label] != label).any():
+                label = label[label]
+        if not label.any():
+            break  # all are one component
+    return (np.concatenate(us), np.concatenate(vs)) if us else (fps[:0], fps[:0])
+
+
 def _forest(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links that connect exactly the components of one list: a search from node to node, in blocks."""
+    """Links that connect exactly the components of one sorted list: a search from node to node, in blocks."""
+    free = int(np.bitwise_or.reduce(fps ^ fps[0]))
+    if len(fps) > DENSE and free.bit_count() <= 24:
+        return _changes(fps, [b for b in range(64) if free >> b & 1])
     left, us, vs = fps, [], []
     while len(left) > 1:
         frontier, left = left[:1], left[1:]
@@ -101,7 +133,7 @@ def _forest(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _links(batches):
     """From rows sorted by (list, fp): the links of every list. A list may span batches."""
     names = ["u", "v"]
-    held = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
     def work(c, k, f):
         if len(f) < 2:
@@ -123,14 +155,17 @@ def _links(batches):
 
     for b in batches:
         now = (b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False), b.column(2).to_numpy(zero_copy_only=False).view(np.uint64))
-        c, k, f = (np.concatenate(x) for x in zip(held, now, strict=True))
-        if not len(f):
+        if not len(now[0]):
             continue
-        last = int(np.flatnonzero((c != c[-1]) | (k != k[-1]))[-1]) + 1 if (c[0], k[0]) != (c[-1], k[-1]) else 0
-        held = (c[last:].copy(), k[last:].copy(), f[last:].copy())
+        held.append(now)
+        if all(len(h[0]) == 0 or (h[0][0], h[1][0]) == (now[0][-1], now[1][-1]) for h in (held[0], held[-1])):
+            continue  # one list so far: nothing to do, and nothing copied again
+        c, k, f = (np.concatenate(x) for x in zip(*held, strict=True))
+        last = int(np.flatnonzero((c != c[-1]) | (k != k[-1]))[-1]) + 1
+        held = [(c[last:].copy(), k[last:].copy(), f[last:].copy())]
         if (out := work(c[:last], k[:last], f[:last])) is not None:
             yield out
-    if (out := work(*held)) is not None:
+    if held and (out := work(*(np.concatenate(x) for x in zip(*held, strict=True)))) is not None:
         yield out
 
 
@@ -149,15 +184,15 @@ def links(nodes: DataFrame, ws: Workspace, hot: int = HOT) -> DataFrame:
     return posted.repartition("list", "key").sortWithinPartitions("list", "key", "fp").mapInArrow(_links, "u long, v long")
 
 
-def classes(df: DataFrame, ws: Workspace, key: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
-    """(key, fp, component_id): fingerprints are written once; the rest works on distinct fingerprints."""
-    docs = ws.save(fingerprints(df, [key], text), "fingerprints")
+def classes(df: DataFrame, ws: Workspace, key: str = "doc_id", text: str = "text", hot: int = HOT, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(key, kept columns, fp, root, component_id): fingerprints are written once; the rest works on distinct fingerprints. ``root`` names a component also where all its keys are null."""
+    docs = ws.save(fingerprints(df, [key, *keep], text), "fingerprints")
     nodes = ws.save(docs.groupBy("fp").agg(F.min(key).alias("_least")), "nodes")
     roots = components(links(nodes.select("fp"), ws, hot), ws)
     placed = ws.save(nodes.join(roots, nodes["fp"] == roots["u"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "_least"), "placed")
     least = placed.groupBy("root").agg(F.min("_least").alias("component_id"))
-    named = ws.save(placed.join(least, "root").select("fp", "component_id"), "named")  # a table, so that the join with a very common fingerprint can be split
-    return docs.join(named, "fp").select(key, "fp", "component_id")
+    named = ws.save(placed.join(least, "root").select("fp", "root", "component_id"), "named")  # a table, so that the join with a very common fingerprint can be split
+    return docs.join(named, "fp").select(key, *keep, "fp", "root", "component_id")
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
@@ -167,10 +202,16 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", hot:
 
 
 def one_per_class(df: DataFrame, key: str = "doc_id", text: str = "text", find=None) -> DataFrame:
-    """The rows of ``df`` that are the smallest of their component, by ``find`` (:func:`classes` unless given); of rows with an equal key, the one with the smallest text hash."""
-    from pyspark.sql.window import Window
-
-    found = (find or classes)(df, Workspace(df.sparkSession, "simhash"), key, text)
-    keep = found.filter(F.col(key).eqNullSafe(F.col("component_id"))).select(key).distinct()
-    kept = df.join(keep, df[key].eqNullSafe(keep[key]), "left_semi")
-    return kept.withColumn("__simhash_at", F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64(text)))).filter("__simhash_at = 1").drop("__simhash_at")
+    """One row of ``df`` for each component by ``find`` (:func:`classes` unless given): the one with the smallest key (nulls last), then the smallest hash of the whole row; rows equal in all columns count once.
+
+    Rows are told apart by key and hash, not by key alone: rows of different
+    components may share a key or have none, and each component keeps its row.
+    """
+    ws, at = Workspace(df.sparkSession, "simhash"), "__simhash_at"
+    whole = [F.to_json(F.struct(F.col(f"`{f.name}`"))) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in df.schema]  # maps have no hash of their own
+    tagged = df.withColumn(at, F.xxhash64(*whole))
+    found = (find or classes)(tagged, ws, key, text, keep=(at,))
+    best = found.groupBy("root").agg(F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col(at).alias("at"))).alias("_b"))
+    best = ws.save(best.select(F.col("_b.key").alias("__simhash_key"), F.col("_b.at").alias("__simhash_best")), "best")
+    kept = tagged.join(best, tagged[key].eqNullSafe(best["__simhash_key"]) & (tagged[at] == best["__simhash_best"]), "left_semi")
+    return kept.withColumn("__simhash_n", F.row_number().over(Window.partitionBy(key, at).orderBy(at))).filter("__simhash_n = 1").drop(at, "__simhash_n")

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 import xxhash
 
+from scriptmill.llm import similar
 from scriptmill.llm import simhash as S
 from scriptmill.llm.components import components
 from scriptmill.runtime import Workspace
@@ -73,6 +74,43 @@ def test_documents(spark):
     assert S.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
+def test_dense_lists():
+    """Look-ups of changes link what comparing all pairs links, also over batches."""
+    rng = np.random.default_rng(3)
+    for n, free in ((1, [3]), (40, list(range(8, 20))), (300, [*range(5), *range(30, 40)]), (900, list(range(40, 64)))):
+        f = np.unique(np.array([sum(1 << b for b in free if rng.random() < 0.5) + (5 << 20) for _ in range(n)], np.uint64))
+        u, v = S._changes(f, free)
+        assert (np.bitwise_count(u ^ v) <= 3).all()
+        parts = {int(x): int(x) for x in f}
+
+        def find(a):
+            while parts[a] != a:
+                a = parts[a]
+            return a
+
+        for a, b in zip(u.tolist(), v.tolist()):
+            a, b = find(a), find(b)
+            parts[max(a, b)] = min(a, b)
+        assert [find(int(x)) for x in f] == [int(f[i]) for i in groups(f)]
+
+
+def test_one_per_class_keeps_every_component(spark):
+    """Repeated and null keys, repeated rows, ties and clashing names: a row of every component stays, and only one."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    texts = [" ".join(word() for _ in range(80)) for _ in range(12)] + ["", " ", "one two"]
+    rows = [(rng.choice([None, 5, 5, 7, i]), rng.choice([t, t.upper() if "one" not in t else t, t + " "]), rng.choice(["a", "b", None]), i % 2) for i in range(120) for t in [rng.choice(texts)]]
+    rows += rows[:9] + [(5, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, root string, fp int").repartition(4)
+    for find in (S.classes, similar.classes):
+        got = [tuple(r) for r in S.one_per_class(df, find=find).collect()]
+        node = lambda r: " ".join((r[1] or "").lower().split())
+        assert sorted(map(node, got)) == sorted({node(r) for r in rows}) and set(got) <= set(rows)
+        for r in got:
+            keys = [x[0] for x in rows if node(x) == node(r) and x[0] is not None]
+            assert r[0] == (min(keys) if keys else None)
+
+
 def test_long_chain(spark):
     ws = Workspace(spark, "chain")
     n = 300

@@ -1,8 +1,10 @@
 """Quality classifier: histogram gradient-boosted trees over document statistics.
 
 Training takes at most ``MAX_ROWS`` labelled rows (documented bound), chosen by
-the hash of their key, so the choice does not depend on partitions; rows whose
-crc32(key) mod 5 is 0 are held out. Trees grow on binned statistics with
+the hash of their key before any text is read, so the choice does not depend on
+partitions. A key stands for one row: of several labels under it the largest
+counts, of several texts the one with the smallest hash. Rows whose crc32(key)
+mod 5 is 0 are held out. Trees grow on binned statistics with
 second-order logistic gradients and are flattened into arrays; scoring walks
 all trees of a slice of documents at once.
 
@@ -117,13 +119,13 @@ def held_out(key):
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", max_rows: int = MAX_ROWS) -> Trees:
-    """Fit on at most ``max_rows`` labelled rows. The chosen keys are a bounded table, so joining them moves no text."""
+    """Fit on at most ``max_rows`` labelled rows. The chosen keys are a bounded table, so joining them moves no text but one for each of them."""
     usable = labels.select(key, label).filter(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(F.col(key))).groupBy(key).agg(F.max(label).alias("_y"))
     chosen = usable.orderBy(F.xxhash64(key), key).limit(max_rows)
-    rows = docs.select(key, text).join(F.broadcast(chosen), key).select(key, "_y", text)
-    out = map_texts(rows, lambda: lambda texts: {"x": [statistics(t) for t in texts]}, [key, "_y"], text, schema_of(rows, [key, "_y"], "x array<double>"))
-    found = sorted((r[0], int(r[1]), r[2]) for r in out.toLocalIterator())
-    found = found[: 2 * max_rows]  # keys that documents repeat could exceed the bound
+    rows = docs.select(key, F.col(text).alias("_text")).join(F.broadcast(chosen), key)
+    rows = rows.groupBy(key).agg(F.max("_y").alias("_y"), F.min_by("_text", F.xxhash64("_text")).alias("_text"))
+    out = map_texts(rows, lambda: lambda texts: {"x": [statistics(t) for t in texts]}, [key, "_y"], "_text", schema_of(rows, [key, "_y"], "x array<double>"))
+    found = sorted((r[0], int(r[1]), r[2]) for r in out.collect())  # at most max_rows
     return fit(np.array([r[2] for r in found]).reshape(-1, len(NAMES)), np.array([r[1] for r in found], float))
 
 

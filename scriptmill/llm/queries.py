@@ -20,7 +20,7 @@ def op1_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return winnowing.contamination(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text")).drop("spans")
+    return winnowing.contamination(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text")).drop("spans", "items")
 
 
 def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,12 +1,14 @@
-"""Secret scans: fixed patterns, and a character convolutional network over every other candidate.
+"""Secret scans: fixed patterns, and a character convolutional network over every candidate.
 
 A candidate is any run of 16 or more key characters. The network sees the
 characters of the candidate and of its surroundings (one-hot classes, one
 convolution, max and mean pooling, one hidden layer; plain numpy) and gives a
 calibrated probability. It is trained, with a fixed seed, on labelled findings
 generated here from formats: no labels of secrets come with the tables.
-Calibration (a logistic fit) and the threshold, the highest that keeps
-``RECALL`` of the positives, use findings that training has not seen.
+Calibration is a logistic fit; the threshold is the highest that keeps
+``RECALL`` of the positives with 95 % confidence. Training, calibration and threshold each use
+findings of their own. A trained network can be kept as a table
+(:func:`to_table`, :func:`from_table`) and given to the scans.
 
 A candidate longer than the network's window is scored window by window with
 overlap and takes the highest score, so texts and candidates count whole.
@@ -23,11 +25,12 @@ from __future__ import annotations
 
 import hashlib
 import re
-from dataclasses import dataclass
+from collections.abc import Iterator
+from dataclasses import dataclass, fields
 from functools import cache
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from scriptmill.llm.batches import map_texts, replace_texts, schema_of
 
@@ -39,6 +42,7 @@ CANDIDATE = 16
 _CANDIDATE = re.compile(rf"[A-Za-z0-9+/_.=-]{{{CANDIDATE},}}")
 LEFT, BODY, RIGHT = 24, 40, 8
 RECALL = 0.97
+WINDOWS = 8192  # scored at once
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -154,7 +158,7 @@ def trained(n: int = 3000, epochs: int = 6, seed: int = 7) -> Network:
     net = Network(init(WIDTH * N_CLASSES, FILTERS) * 3, np.zeros(FILTERS), init(2 * FILTERS, HIDDEN), np.zeros(HIDDEN), init(HIDDEN, 1)[:, 0], 0.0)
     names = ("conv", "conv_b", "hidden", "hidden_b", "out", "out_b")
     m = {k: np.zeros_like(np.asarray(getattr(net, k), float)) for k in names}
-    v, t = {k: z.copy() for k, z in m.items()}, 0
+    v, t, one_hot = {k: z.copy() for k, z in m.items()}, 0, np.eye(N_CLASSES)
     for _ in range(epochs):
         order = rng.permutation(n)
         for i in range(0, n, 100):
@@ -170,9 +174,8 @@ def trained(n: int = 3000, epochs: int = 6, seed: int = 7) -> Network:
             np.put_along_axis(da, top[:, None, :], df[:, None, :FILTERS], 1)
             da[:, LEFT : LEFT + BODY] += df[:, None, FILTERS:] / BODY
             da *= a > 0
-            dw = np.zeros((WIDTH, N_CLASSES, FILTERS))
-            for j in range(WIDTH):
-                np.add.at(dw[j], xs[:, j : j + a.shape[1]].ravel(), da.reshape(-1, FILTERS))
+            hot, flat = one_hot[xs], da.reshape(-1, FILTERS)
+            dw = np.stack([hot[:, j : j + a.shape[1]].reshape(-1, N_CLASSES).T @ flat for j in range(WIDTH)])
             grads = {"conv": dw.reshape(-1, FILTERS), "conv_b": da.sum((0, 1)), "hidden": f.T @ dh, "hidden_b": dh.sum(0), "out": r.T @ dz, "out_b": dz.sum()}
             for k, g in grads.items():
                 m[k] = 0.9 * m[k] + 0.1 * g
@@ -185,15 +188,27 @@ def trained(n: int = 3000, epochs: int = 6, seed: int = 7) -> Network:
         e = 1 / (1 + np.exp(-(a * z + b))) - yc
         a, b = a - 0.05 * (e * z).mean(), b - 0.05 * e.mean()
     net.scale, net.shift = a, b
-    net.threshold = float(min(0.9, max(0.5, np.quantile(net.scores(xc)[yc == 1], 1 - RECALL))))
+    xt, yt = _inputs(labelled_findings(n // 2, seed + 2))
+    allowed = 1 - RECALL - 1.64 * np.sqrt(RECALL * (1 - RECALL) / yt.sum())  # so that RECALL holds beyond these findings, with 95 % confidence
+    net.threshold = float(np.quantile(net.scores(xt)[yt == 1], allowed, method="lower"))
     return net
 
 
+def to_table(spark: SparkSession, net: Network) -> DataFrame:
+    """The weights as rows (name, shape, values)."""
+    rows = [(f.name, list(np.shape(getattr(net, f.name))), np.ravel(getattr(net, f.name)).astype(float).tolist()) for f in fields(net)]
+    return spark.createDataFrame(rows, "name string, shape array<int>, values array<double>")
+
+
+def from_table(df: DataFrame) -> Network:
+    """The network of :func:`to_table`: nine rows."""
+    return Network(**{r.name: np.array(r["values"]).reshape(r["shape"]) if r["shape"] else r["values"][0] for r in df.collect()})
+
+
 # --- the scan --------------------------------------------------------------
 
-def _outside(start: int, end: int, base) -> tuple[tuple[int, int], ...]:
-    """The parts of a candidate outside the fixed spans; beside assignments only those of a candidate's length."""
-    touching = [s for s in base if s[0] < end and start < s[2]]
+def _outside(start: int, end: int, touching) -> tuple[tuple[int, int], ...]:
+    """The parts of a candidate outside the fixed spans that touch it; beside assignments only those of a candidate's length."""
     least = 1 if any(k for _, k, _ in touching) else CANDIDATE
     out, at = [], start
     for a, _, b in touching:
@@ -202,38 +217,52 @@ def _outside(start: int, end: int, base) -> tuple[tuple[int, int], ...]:
     return tuple((a, b) for a, b in [*out, (at, end)] if b - a >= least)
 
 
+def candidates(text: str, base) -> Iterator[tuple[int, int, tuple]]:
+    """(start, end, parts outside fixed spans) of every candidate, in one walk along both sorted lists."""
+    active, at = [], 0
+    for m in _CANDIDATE.finditer(text):
+        a, b = m.span()
+        while at < len(base) and base[at][0] < b:
+            active.append(base[at])
+            at += 1
+        active = [s for s in active if s[2] > a]
+        yield a, b, _outside(a, b, active)
+
+
 def scan(texts: list[str], net: Network) -> list[list[tuple[int, int, int]]]:
-    """All spans (start, kind, end) of each text, by start and then kind."""
-    found, rows, owners = [], [], []
+    """All spans (start, kind, end) of each text, by start and then kind. Every candidate is scored, windows of many of them at a time."""
+    found, rows, owners = [base_spans(x) for x in texts], [], []
+
+    def judge():
+        scores = net.scores(np.stack(rows))
+        for i, parts in {owners[j] for j in np.flatnonzero(scores >= net.threshold).tolist()}:
+            found[i] += [(a, 3, b) for a, b in parts]
+        rows.clear()
+        owners.clear()
+
     for i, text in enumerate(texts):
-        base = base_spans(text)
-        found.append(list(base))
-        for m in _CANDIDATE.finditer(text):
-            parts = _outside(m.start(), m.end(), base)
-            if not parts:
-                continue
-            for w in windows(text, m.start(), m.end()):
+        for a, b, parts in candidates(text, found[i][:]):
+            for w in windows(text, a, b):
                 rows.append(w)
                 owners.append((i, parts))
+                if len(rows) >= WINDOWS:
+                    judge()
     if rows:
-        scores = net.scores(np.stack(rows))
-        added = {owners[j] for j in np.flatnonzero(scores >= net.threshold).tolist()}
-        for i, parts in sorted(added):
-            found[i] += [(a, 3, b) for a, b in parts]
-    return [sorted(x) for x in found]
+        judge()
+    return [sorted(set(x)) for x in found]
 
 
 def render(spans) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
 
 
-def find_secrets(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
+def find_secrets(df: DataFrame, keep: list[str], text: str = "text", net: Network | None = None) -> DataFrame:
     """Kept columns, counts of the fixed kinds, the digest of the fixed spans, and all spans."""
-    net = df.sparkSession.sparkContext.broadcast(trained())
+    shared = df.sparkSession.sparkContext.broadcast(net or trained())
 
     def make():
         def fn(texts):
-            found = scan(texts, net.value)
+            found = scan(texts, shared.value)
             base = [[s for s in x if s[1] < 3] for x in found]
             out = {f"n_{k}": [sum(s[1] == i for s in x) for x in base] for i, k in enumerate(KINDS)}
             out["base_sha256"] = [hashlib.sha256(render(x).encode()).hexdigest() for x in base]
@@ -256,11 +285,11 @@ def redact(text: str, spans) -> str:
     return "".join([*out, text[at:]])
 
 
-def redact_secrets(df: DataFrame, text: str = "text") -> DataFrame:
+def redact_secrets(df: DataFrame, text: str = "text", net: Network | None = None) -> DataFrame:
     """The rows of ``df`` with every span in their texts redacted; null texts stay null."""
-    net = df.sparkSession.sparkContext.broadcast(trained())
+    shared = df.sparkSession.sparkContext.broadcast(net or trained())
 
     def make():
-        return lambda texts: [redact(x, s) for x, s in zip(texts, scan(texts, net.value), strict=True)]
+        return lambda texts: [redact(x, s) for x, s in zip(texts, scan(texts, shared.value), strict=True)]
 
     return replace_texts(df, make, text)

@@ -4,38 +4,48 @@ Word k-grams (k = 5) are hashed, and of every 6 consecutive k-grams, which
 together cover the 10 words of a window, the smallest hash is kept. Two texts
 that share 10 consecutive words share such a window, hence a kept fingerprint
 at the same place of it; so every sufficiently long shared span is found.
-Kept fingerprints of documents are joined with those of the benchmark and each
-hit is extended word by word in both directions; an extended span of at least
-a window is a real occurrence, not a hash match. Items shorter than a window
-are one window each and are looked up by a hash of all their words, then
-compared.
-
-The benchmark is the small side: it is read in blocks of at most
-``BLOCK_WORDS`` words, and each block's index is broadcast. One block is one
-pass over the documents; more blocks are further passes whose hits are merged.
+An item shorter than a window is one window; its fingerprint is the hash of all
+its words, and documents offer the hashes of all grams of the lengths that such
+items have.
+
+Fingerprints of both sides are tables with the words around them (as many as a
+window can reach), and are joined by their hash; Spark picks the join by size
+and may split it where a fingerprint is very common. Each hit is extended word
+by word within its context; at least a window of equal words is an occurrence,
+anything less is not. Every occurrence of a window holds a kept fingerprint, so
+the extended hits together cover exactly the occurrences. Equal contexts of one
+text are one row with all their places, so a text that repeats itself does not
+meet another one pairwise.
+
+Documents are read once. What they offer to the join is thinned by a bitmap of
+the benchmark's hashes, ``2**BITMAP_BITS`` bits (8 MB) whatever the benchmark's
+size: a bit that is not set proves that a hash cannot join. No part of the
+benchmark reaches the driver but this bitmap and the list of lengths below 10.
 
 Defined cases: null texts have no words and no hits; items without words match
-nothing; equal items each count; equal or null document ids stay separate
-rows; empty tables on either side give no hits or no rows; further columns are
-ignored.
+nothing; equal items each count, null item ids as "null"; equal or null
+document ids stay separate rows; empty tables on either side give no hits or no
+rows; further columns are ignored.
 """
 
 from __future__ import annotations
 
-from itertools import repeat
-
 import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptmill.llm.batches import filter_rows, map_texts, schema_of
-from scriptmill.runtime import Workspace
+from scriptmill.llm.batches import map_texts, schema_of, slices
+from scriptmill.runtime import Workspace, ship
 
 WINDOW, K = 10, 5
-BLOCK_WORDS = 2_000_000
+BITMAP_BITS = 26
+MEMO = 500_000
 _KEEP = bytes(range(0x30, 0x3A)) + bytes(range(0x61, 0x7B)) + bytes(range(0x80, 0x100))
 _TABLE = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b in _KEEP else 32 for b in range(256))
 _PRIME = np.uint64(0x100000001B3)
+_CHUNK = 1 << 15  # bits of one row of Spark's bitmap aggregate
 
 
 def words_of(text: str) -> list[bytes]:
@@ -66,145 +76,184 @@ def winnow(hashes: np.ndarray, window: int) -> np.ndarray:
     return np.unique(n - 1 - (np.arange(n - w + 1) + view.argmin(1)))
 
 
-class Index:
-    """Fingerprints, words and item numbers of one block of benchmark items."""
-
-    def __init__(self, items: list[tuple[str, list[bytes]]]):
-        self.names = [name for name, _ in items]
-        self.vocabulary: dict[bytes, int] = {}
-        number = lambda w: self.vocabulary.setdefault(w, len(self.vocabulary) + 1)
-        self.words = [np.array([number(w) for w in ws], np.int64) for _, ws in items]
-        prints: dict[int, list[tuple[int, int]]] = {}
-        self.short: dict[int, dict[int, list[int]]] = {}
-        for i, ids in enumerate(self.words):
-            if len(ids) >= WINDOW:
-                h = gram_hashes(ids, K)
-                for p in winnow(h, WINDOW - K + 1):
-                    prints.setdefault(int(h[p]), []).append((i, int(p)))
-            elif len(ids):
-                self.short.setdefault(len(ids), {}).setdefault(int(gram_hashes(ids, len(ids))[0]), []).append(i)
-        self.prints = prints
-        self.keys = np.sort(np.fromiter(prints, np.uint64, len(prints)))
-        self.short_keys = {m: np.sort(np.fromiter(d, np.uint64, len(d))) for m, d in self.short.items()}
-
-    def spans(self, text: str) -> tuple[int, list[tuple[int, int, int]]]:
-        """Number of words of a text, and (start, end, item) of its maximal shared spans."""
-        words = words_of(text)
-        ids = np.fromiter(map(self.vocabulary.get, words, repeat(0)), np.int64, len(words))
-        found: list[tuple[int, int, int]] = []
-        least = min([WINDOW if len(self.keys) else len(ids) + 1, *self.short])
-        edge = np.flatnonzero(np.diff(np.concatenate([[0], (ids > 0).view(np.int8), [0]])))
-        for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):  # runs of words that the benchmark has at all
-            if b - a >= least:
-                self._run(ids[a:b], a, found)
-        return len(words), found
-
-    def _run(self, run: np.ndarray, offset: int, found: list) -> None:
-        if len(run) >= WINDOW and len(self.keys):
-            h = gram_hashes(run, K)
-            at = winnow(h, WINDOW - K + 1)
-            at = at[_in(h[at], self.keys)]
-            done: dict[tuple[int, int], int] = {}  # (item, diagonal): end of the span extended last
-            for p in at.tolist():
-                for item, q in self.prints[int(h[p])]:
-                    if done.get((item, p - q), -1) > p:
+class Grams:
+    """Word hashes of texts; words are hashed once."""
+
+    def __init__(self):
+        self.memo: dict[bytes, int] = {}
+
+    def __call__(self, words: list[bytes]) -> np.ndarray:
+        memo = self.memo
+        if len(memo) > MEMO:
+            memo.clear()
+        for w in set(words).difference(memo):
+            memo[w] = xxhash.xxh64_intdigest(w)
+        return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+
+
+def offered(hashes: np.ndarray, lengths: list[int], keep=None) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(size, places, gram hashes) that a text of these word hashes offers: its winnowed k-grams as size K, and all grams of the given short lengths as their length negated; ``keep`` thins hashes."""
+    grams = gram_hashes(hashes, K)
+    at = winnow(grams, WINDOW - K + 1) if len(hashes) >= WINDOW else np.zeros(0, np.int64)
+    out = [(K, at, grams[at])]
+    for m in lengths:
+        h = gram_hashes(hashes, m) ^ np.uint64(m)
+        out.append((-m, np.arange(len(h)), h))
+    if keep is not None:
+        out = [(m, at[ok], h[ok]) for m, at, h in out for ok in [keep(h)]]
+    return out
+
+
+def contexts(words: list[bytes], found) -> dict[tuple[int, int, bytes], list[int]]:
+    """Places by (hash, words before the gram, context); a short gram, marked by -1 words before it, is its own context."""
+    out: dict[tuple[int, int, bytes], list[int]] = {}
+    for m, places, hashes in found:
+        for p, h in zip(places.tolist(), hashes.view(np.int64).tolist(), strict=True):
+            first, end = (max(0, p - WINDOW + K), p + WINDOW) if m > 0 else (p, p - m)
+            out.setdefault((h, p - first if m > 0 else -1, b" ".join(words[first:end])), []).append(p)
+    return out
+
+
+def extend(lead: int, context: bytes, lead2: int, context2: bytes) -> tuple[int, int] | None:
+    """Words before and behind the place of a hit that both contexts share, if they make a window."""
+    if (lead < 0) != (lead2 < 0):
+        return None
+    a, b = context.split(), context2.split()
+    if lead < 0:
+        return (0, len(a)) if a == b else None
+    left, right = 0, 0
+    while left < min(lead, lead2) and a[lead - left - 1] == b[lead2 - left - 1]:
+        left += 1
+    while lead + right < len(a) and lead2 + right < len(b) and a[lead + right] == b[lead2 + right]:
+        right += 1
+    return (left, right) if right >= K and left + right >= WINDOW else None
+
+
+SPANS = "array<struct<start:int,end:int>>"
+_PRINT = "h long, lead int, context binary"
+
+
+def _prints(items: DataFrame, item: str, text: str) -> DataFrame:
+    """(item, short, h, lead, context): the distinct fingerprints of every item; ``short`` is its length below a window, else 0."""
+    ship(items.sparkSession)
+
+    def run(batches):
+        grams = Grams()
+        for b in batches:
+            for part in slices(b, 1):
+                out = [[], [], [], [], []]
+                for name, t in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                    words = words_of(t or "")
+                    if not words:
                         continue
-                    left, right = _extend(run, p, self.words[item], q)
-                    done[item, p - q] = right
-                    if right - left >= WINDOW:
-                        found.append((offset + left, offset + right, item))
-        for m, keys in self.short_keys.items():
-            h = gram_hashes(run, m)
-            for p in np.flatnonzero(_in(h, keys)).tolist():
-                for item in self.short[m][int(h[p])]:
-                    if np.array_equal(run[p : p + m], self.words[item]):
-                        found.append((offset + p, offset + p + m, item))
-
-
-def _in(x: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    return keys[np.minimum(np.searchsorted(keys, x), len(keys) - 1)] == x
-
-
-def _extend(a: np.ndarray, p: int, b: np.ndarray, q: int) -> tuple[int, int]:
-    """The longest equal stretch of a and b around places p and q, as a range of a; empty if they differ at the place itself."""
-    n = min(len(a) - p, len(b) - q)
-    unlike = np.flatnonzero(a[p : p + n] != b[q : q + n])
-    right = p + (int(unlike[0]) if len(unlike) else n)
-    m = min(p, q)
-    unlike = np.flatnonzero(a[p - m : p][::-1] != b[q - m : q][::-1])
-    return (p - (int(unlike[0]) if len(unlike) else m), right) if right > p else (p, p)
-
-
-
-
-def _blocks(benchmark: DataFrame, item: str, text: str):
-    """Indexes over consecutive items, each of a bounded number of words; rows come partition by partition."""
-    held, size = [], 0
-    for r in benchmark.select(F.coalesce(F.col(item).cast("string"), F.lit("null")), text).toLocalIterator():
-        words = words_of(r[1] or "")
-        if words:
-            held.append((r[0], words))
-            size += len(words)
-        if size >= BLOCK_WORDS:
-            yield Index(held)
-            held, size = [], 0
-    if held:
-        yield Index(held)
-
-
-def shared_spans(df: DataFrame, index, keep: list[str], text: str) -> DataFrame:
-    """Kept columns, n_words, spans (start, end, item id) of each document against one broadcast index."""
+                    short = len(words) if len(words) < WINDOW else 0
+                    for h, lead, context in contexts(words, offered(grams(words), [short] if short else [])):
+                        for x, v in zip(out, (name, short, h, lead, context), strict=True):
+                            x.append(v)
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.string(), pa.int32(), pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["item", "short", "h", "lead", "context"])
+
+    return items.select(F.coalesce(F.col(item).cast("string"), F.lit("null")), text).mapInArrow(run, f"item string, short int, {_PRINT}")
+
+
+def _bitmap(prints: DataFrame) -> np.ndarray:
+    """The set bits of the hashes' low ``BITMAP_BITS`` bits, as bytes."""
+    low = F.col("h").bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
+    rows = prints.select(F.floor(low / _CHUNK).alias("chunk"), (low % _CHUNK).alias("bit")).groupBy("chunk").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
+    out = np.zeros(((1 << BITMAP_BITS) // _CHUNK, _CHUNK // 8), np.uint8)
+    for r in rows:
+        out[r.chunk] = np.frombuffer(r.bits, np.uint8)
+    return out.ravel()
+
+
+def _offers(docs: DataFrame, keep: list[str], text: str, prints: DataFrame) -> DataFrame:
+    """Kept columns, n_words, and the fingerprints (hash, context, places) that the bitmap leaves."""
+    lengths = sorted(r.short for r in prints.filter("short > 0").select("short").distinct().collect())  # at most WINDOW - 1
+    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(prints))
+
     def make():
-        ix = index.value
+        grams, bits, mask = Grams(), shared.value, np.uint64((1 << BITMAP_BITS) - 1)
+
+        def known(h):
+            low = h & mask
+            return (bits[low >> np.uint64(3)] >> (low & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
         def fn(texts):
-            out = [ix.spans(x) for x in texts]
-            return {"n_words": [n for n, _ in out], "spans": [[{"start": a, "end": b, "item": ix.names[i]} for a, b, i in s] for _, s in out]}
+            words = [words_of(x) for x in texts]
+            found = [contexts(w, offered(grams(w), lengths, known)) for w in words]
+            return {"n_words": list(map(len, words)), "_offers": [[{"h": h, "lead": lead, "context": c, "at": at} for (h, lead, c), at in x.items()] for x in found]}
 
         return fn
 
-    return map_texts(df, make, keep, text, schema_of(df, keep, "n_words long, spans array<struct<start:int,end:int,item:string>>"))
+    return map_texts(docs, make, keep, text, schema_of(docs, keep, f"n_words long, _offers array<struct<{_PRINT.replace(' ', ':').replace(',:', ',')},at:array<int>>>"))
 
 
-def contamination(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
-    """(key, n_words, n_hit, n_items, items_sha256, contaminated, spans) of every document."""
-    spark = df.sparkSession
-    blocks = [spark.sparkContext.broadcast(x) for x in _blocks(benchmark, item, item_text)] or [spark.sparkContext.broadcast(Index([]))]
-    if len(blocks) == 1:
-        found = shared_spans(df.select(key, text), blocks[0], [key], text)
-    else:
-        ws = Workspace(spark, "winnow")
-        rows = ws.save(df.select(key, text).withColumn("_row", F.monotonically_increasing_id()), "documents")
-        parts = [ws.save(shared_spans(rows, b, [key, "_row"], text), f"block{i}") for i, b in enumerate(blocks)]
-        union = parts[0]
-        for p in parts[1:]:
-            union = union.unionByName(p)
-        found = union.groupBy("_row", key).agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans")).select(key, "n_words", "spans")
-    return found.select(key, "n_words", _covered("spans").cast("long").alias("n_hit"), *_items("spans"), (F.size("spans") > 0).alias("contaminated"), "spans")
-
-
-def _covered(spans: str):
-    """Words inside the union of spans: a fold over the sorted spans that carries the end so far."""
-    start = F.struct(F.lit(0).alias("hit"), F.lit(0).alias("end"))
-    step = lambda a, s: F.struct((a["hit"] + F.greatest(F.lit(0), s["end"] - F.greatest(s["start"], a["end"]))).alias("hit"), F.greatest(a["end"], s["end"]).alias("end"))
-    return F.aggregate(F.array_sort(F.col(spans)), start, step, lambda a: a["hit"])
-
-
-def _items(spans: str):
-    names = F.array_sort(F.array_distinct(F.transform(F.col(spans), lambda s: s["item"])))
-    return F.size(names).cast("long").alias("n_items"), F.sha2(F.array_join(names, ","), 256).alias("items_sha256")
+def _hits(offers: DataFrame, prints: DataFrame, keep: list[str]) -> DataFrame:
+    """(kept columns, item, spans): for each joined and extended pair of contexts the runs of words that it covers."""
+    ship(offers.sparkSession)
+    rows = offers.select(*keep, F.explode("_offers").alias("_o")).select(*keep, "_o.h", F.col("_o.lead").alias("_lead"), F.col("_o.context").alias("_context"), F.col("_o.at").alias("_at"))
+    met = rows.join(prints.select("h", "item", "lead", "context"), "h").select(*keep, "item", "_at", "_lead", "_context", "lead", "context")
+    schema = schema_of(met, [*keep, "item"], f"spans {SPANS}")
 
+    def run(batches):
+        n = len(keep) + 1
+        for b in batches:
+            for part in slices(b, n, 4096):
+                found = [extend(*x) for x in zip(*(part.column(i).to_pylist() for i in range(n + 1, n + 5)), strict=True)]
+                use = pa.array([x is not None for x in found], pa.bool_())
+                spans = [_union((p - x[0], p + x[1]) for p in at) for at, x in zip(part.column(n).filter(use).to_pylist(), filter(None, found), strict=True)]
+                yield pa.RecordBatch.from_arrays([*(part.column(i).filter(use) for i in range(n)), _span_array(spans)], names=schema.fieldNames())
 
-def decontaminate(df: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The rows of ``df`` without any benchmark window; blocks of the benchmark filter one after another."""
-    for block in _blocks(benchmark, item, item_text):
-        index = df.sparkSession.sparkContext.broadcast(block)
+    return met.mapInArrow(run, schema)
 
-        def make(index=index):
-            return lambda texts: [not index.value.spans(x)[1] for x in texts]
 
-        df = filter_rows(df, make, text)
-    return df
+def contamination(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
+    """(key, n_words, n_hit, n_items, items_sha256, contaminated, spans, items) of every document: ``spans`` are the maximal runs of hit words, ``items`` the sorted ids."""
+    ws = Workspace(df.sparkSession, "winnow")
+    prints = ws.save(_prints(benchmark, item, item_text), "prints")
+    offers = ws.save(_offers(df.select(F.col(key).alias("_key"), text), ["_key"], text, prints).withColumn("_row", F.monotonically_increasing_id()), "offers")
+    hits = ws.save(_hits(offers.filter(F.size("_offers") > 0), prints, ["_row"]), "hits")
+    # spans and items by themselves: many items with equal spans bring those once
+    spans = hits.groupBy("_row").agg(F.collect_set("spans").alias("_spans")).mapInArrow(_union_rows, f"_row long, spans {SPANS}")
+    items = hits.groupBy("_row").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    out = offers.select("_row", "_key", "n_words").join(spans, "_row", "left").join(items, "_row", "left")
+    empty = F.array().cast("array<string>")
+    out = out.select(F.col("_key").alias(key), "n_words", F.coalesce("spans", F.array().cast(SPANS)).alias("spans"), F.coalesce("items", empty).alias("items"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["start"]).cast("long"))
+    return out.select(key, "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"), "spans", "items")
+
+
+def _union(spans) -> list[tuple[int, int]]:
+    """Sorted maximal runs of the words in any span."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def _union_rows(batches):
+    """Rows (_row, array of span arrays): their spans made runs."""
+    for b in batches:
+        for part in slices(b, 1):
+            rows = [_union((s["start"], s["end"]) for x in r for s in x) for r in part.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column(0), _span_array(rows)], names=["_row", "spans"])
+
+
+def _span_array(rows) -> pa.Array:
+    return pa.array([[{"start": a, "end": b} for a, b in r] for r in rows], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
+
+
+def decontaminate(df: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The rows of ``df`` without any benchmark window. A window is in a text or not, whatever row holds it, so rows go by the digest of their text."""
+    ws, name = Workspace(df.sparkSession, "winnow"), "__winnow_text"
+    digest = F.sha2(F.col(text), 256)
+    prints = ws.save(_prints(benchmark, item, item_text), "prints")
+    texts = df.filter(F.col(text).isNotNull()).select(digest.alias(name), text)
+    offers = ws.save(_offers(texts, [name], text, prints).filter(F.size("_offers") > 0).drop("n_words"), "offers")
+    bad = ws.save(_hits(offers, prints, [name]).select(name).distinct(), "bad")
+    return df.withColumn(name, digest).join(bad, name, "left_anti").select(*df.columns)
 
 
 def op2_sql() -> str:

@@ -109,7 +109,7 @@ def quality_rules(df: DataFrame, key: str = "doc_id", host: str = "source", text
 
 
 def op1_sql(min_docs: int = 10, share: float = 0.002, min_left: int = MIN_WORDS, max_removed: float = 0.8) -> str:
-    """DuckDB: the same rules over the lines themselves instead of their hashes."""
+    """DuckDB: the same rules over the lines and texts themselves instead of their hashes; a document is its whole text."""
     space = r"[\x20\x09-\x0D]"
     words = f"list_filter(regexp_split_to_array({{}}, '{space}+'), lambda x: x <> '')"
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789", "abcdefghijklmnopqrstuvwxyz000000000"
@@ -117,11 +117,10 @@ def op1_sql(min_docs: int = 10, share: float = 0.002, min_left: int = MIN_WORDS,
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(source::VARCHAR, chr(0)) AS host, coalesce(text, '') AS t FROM documents),
 b AS (SELECT *, {words.format("t")} AS w, string_split(t, chr(10)) AS raw FROM d),
 l AS (SELECT rid, host, unnest(raw) AS line FROM b),
-ids AS (SELECT rid, host, arg_max(s, strlen(s)::VARCHAR.lpad(12, '0') || s) AS identity FROM (SELECT rid, host, regexp_replace(line, '^{space}+|{space}+$', '', 'g') AS s FROM l) GROUP BY 1, 2),
 n AS (SELECT rid, host, {words.format(f"translate(line, '{upper}', '{lower}')")} AS lw FROM l),
-nl AS (SELECT n.rid, n.host, identity, array_to_string(lw, ' ') AS line, len(lw) AS size FROM n JOIN ids USING (rid) WHERE len(lw) > 0),
-lim AS (SELECT host, greatest({min_docs}.0, count(DISTINCT identity) * {share}) AS lim FROM ids GROUP BY 1),
-com AS (SELECT host, line FROM (SELECT host, line, count(DISTINCT identity) AS c FROM nl GROUP BY 1, 2) JOIN lim USING (host) WHERE c > {min_docs} AND c > lim),
+nl AS (SELECT rid, host, array_to_string(lw, ' ') AS line, len(lw) AS size FROM n WHERE len(lw) > 0),
+lim AS (SELECT host, greatest({min_docs}.0, count(DISTINCT t) * {share}) AS lim FROM d GROUP BY 1),
+com AS (SELECT host, line FROM (SELECT host, line, count(*) AS c FROM (SELECT DISTINCT nl.host, line, t FROM nl JOIN d USING (rid)) GROUP BY 1, 2) JOIN lim USING (host) WHERE c > {min_docs} AND c > lim),
 rem AS (SELECT rid, sum(size) AS gone, count(*) AS gone_lines FROM nl JOIN com USING (host, line) GROUP BY 1),
 win AS (SELECT rid, i, list_slice(w, i, i + {WINDOW - 1}) AS g FROM (SELECT rid, w, unnest(range(1, len(w) - {WINDOW - 2})) AS i FROM b)),
 rep AS (SELECT rid, count(DISTINCT p) AS hit FROM (SELECT rid, unnest(range(i, i + {WINDOW})) AS p FROM win SEMI JOIN (SELECT rid, g FROM win GROUP BY 1, 2 HAVING count(*) > 1) r ON win.rid = r.rid AND win.g = r.g) GROUP BY 1),

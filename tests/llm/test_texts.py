@@ -54,10 +54,10 @@ def test_boilerplate(spark):
 def test_repeated_line_is_the_longest(spark):
     """A shared line that is every document's longest one still counts once for each document."""
     notice = " ".join(f"licence{i}" for i in range(60))
-    rows = [(i, "h", f"{notice}\n" + " ".join(chr(97 + i % 26) * (1 + i // 26) + "q" * j for j in range(12))) for i in range(40)]
+    rows = [(i, "h", f"{notice}\n" + " ".join(chr(97 + i % 26) * (1 + i // 26) + "q" * j for j in range(12))) for i in range(200)]
     df = spark.createDataFrame(rows, "doc_id long, source string, text string")
-    got = L.quality_rules(df, min_docs=10).collect()
-    assert len(got) == 40 and {r.n_removed_words for r in got} == {60} and not any(r.kept for r in got)  # 60 of 72 words go
+    got = L.quality_rules(df).collect()
+    assert len(got) == 200 and {r.n_removed_words for r in got} == {60} and not any(r.kept for r in got)  # 60 of 72 words go
 
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")

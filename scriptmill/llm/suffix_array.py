@@ -13,14 +13,18 @@ bytes; of each class of equal prefixes all but the earliest string (document,
 then start) are marked. Of identical segments only the earliest is sorted, the
 others are marked whole.
 
-Whole copies are set apart first: of equal texts the first document stays and
-the others lose all their bytes, and an anchor counts as repeated only if it
-occurs in different texts or at different places.
-
-An anchor with more than ``HOT`` bytes of segments does not go to one task: its
-segments are collapsed by aggregation, and what is distinct is spread by the
-digests of its strings, also exactly. The limit leaves room for what is sorted
-beside an anchor, so no shard outgrows the packed triples.
+Whole copies, known by their SHA-256, are set apart first: of equal texts the
+first document stays and the others lose all their bytes, and an anchor counts
+as repeated only if it occurs in different texts or at different places. All
+other comparisons are of bytes; hashes only choose where strings meet.
+
+An anchor with more than ``HOT`` bytes of segments does not go to one task. Its
+segments, and then the strings of those that are left, are put in order over
+the whole cluster, by their bytes and then by place, and adjacent ones are
+compared, across the borders of tasks too. Equal strings may spread over any
+number of tasks, so no anchor, segment or string is too common. The limit
+leaves room for what is sorted beside an anchor, so no shard outgrows the
+packed triples. ``hot=-1`` sorts everything this way.
 
 Phases are tables in the shared folder. No text, anchor or link reaches the
 driver.
@@ -37,6 +41,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -190,15 +195,16 @@ def _identified(df: DataFrame, ws: Workspace, key: str, text: str) -> DataFrame:
 
 
 def _anchor_table(docs: DataFrame) -> DataFrame:
-    """(h, _id, where, run): every anchor run; ``where`` is equal for the same place in equal texts, ``run`` packs first start and number of starts."""
+    """(h, _id, same, same2, run): every anchor run; ``same`` and ``same2`` are 128 bits of the text's digest, ``run`` packs first start and number of starts."""
     def run(batches):
         for b in batches:
-            for part in slices(b, 2, 4096, 1 << 20):
-                ids, same = part.column(0).to_numpy(), part.column(1).to_numpy()
-                doc, start, n, h = anchors([(x or "").encode() for x in part.column(2).to_pylist()])
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[doc]), pa.array(same[doc]), pa.array(start << 8 | n)], names=["h", "_id", "same", "run"])
+            for part in slices(b, 1, 4096, 1 << 20):
+                ids, texts = part.column(0).to_numpy(), [(x or "").encode() for x in part.column(1).to_pylist()]
+                same = np.frombuffer(b"".join(hashlib.sha256(x).digest()[:16] for x in texts), np.int64).reshape(-1, 2)
+                doc, start, n, h = anchors(texts)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[doc]), pa.array(same[doc, 0]), pa.array(same[doc, 1]), pa.array(start << 8 | n)], names=["h", "_id", "same", "same2", "run"])
 
-    return docs.select("_id", F.xxhash64("_text").alias("_same"), "_text").mapInArrow(run, "h long, _id long, same long, run long")
+    return docs.select("_id", "_text").mapInArrow(run, "h long, _id long, same long, same2 long, run long")
 
 
 def _cut_segments(joined: DataFrame) -> DataFrame:
@@ -219,18 +225,53 @@ def _cut_segments(joined: DataFrame) -> DataFrame:
     return joined.select("_id", "_text", "_runs").mapInArrow(run, "h long, segment binary, _id long, start int")
 
 
-def _hot_runs(named: DataFrame, ws: Workspace) -> DataFrame:
-    """Marked strings of hot anchors: identical segments collapse to the earliest, the strings of what is left are grouped by digest. Minima are tables of their own, so that the joins with them can be split where a digest is very common."""
-    at = F.struct("_id", "start")
-    first = ws.save(named.groupBy("_name").agg(F.min(at).alias("_first")), "hot_first")
-    n = F.octet_length("segment").cast("long") - LENGTH + 1
-    judged = named.join(first, "_name").select("_id", "start", "segment", n.alias("n"), (at == F.col("_first")).alias("_own"))
-    copies = judged.filter(~F.col("_own")).select("_id", F.col("start").cast("long").alias("start"), "n")
-    strings = judged.filter("_own").select("_id", "start", "segment", F.explode(F.sequence(F.lit(0), F.col("n").cast("int") - 1)).alias("_j"))
-    strings = ws.save(strings.select("_id", (F.col("start") + F.col("_j")).cast("long").alias("start"), F.unhex(F.md5(F.substring("segment", F.col("_j") + 1, F.lit(LENGTH)))).alias("_name")), "hot_strings")
-    least = ws.save(strings.groupBy("_name").agg(F.min(at).alias("_first")), "hot_least")
-    later = strings.join(least, "_name").filter(at != F.col("_first")).select("_id", "start", F.lit(1).cast("long").alias("n"))
-    return copies.unionByName(later)
+def _adjacent(batches):
+    """Rows (bytes, _id, start) of one range in order: which of them have the bytes of the row before. Bytes stay on rows that are not later ones, and on the first and last row of the range (edge 1 and 2, or 3), which are compared with other ranges afterwards."""
+    names = ["bytes", "_id", "start", "later", "edge"]
+    held, before, first = None, None, True
+
+    def out(part, ending):
+        nonlocal before, first
+        s, n = part.column(0), part.num_rows
+        same = np.zeros(n, bool)
+        same[0] = before is not None and s[0].as_py() == before
+        if n > 1:
+            same[1:] = pc.equal(s.slice(1), s.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+        edge = np.zeros(n, np.int32)
+        edge[0] += first
+        edge[-1] += 2 * ending
+        before, first = s[n - 1].as_py(), False
+        return pa.RecordBatch.from_arrays([pc.if_else(pa.array(~same | (edge > 0)), s, pa.scalar(None, s.type)), part.column(1), part.column(2), pa.array(same), pa.array(edge)], names=names)
+
+    for b in batches:
+        if b.num_rows:
+            if held is not None:
+                yield out(held, False)
+            held = b
+    if held is not None:
+        yield out(held, True)
+
+
+def _in_order(rows: DataFrame, ws: Workspace, label: str) -> tuple[DataFrame, DataFrame]:
+    """Of rows (bytes, _id, start), sorted over the cluster: the earliest of each class of equal bytes, and (_id, start) of all others."""
+    order = ["bytes", "_id", "start"]
+    judged = ws.save(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_adjacent, "bytes binary, _id long, start int, later boolean, edge int"), f"{label}_judged")
+    at, edges = F.struct("_id", "start"), judged.filter("edge > 0")
+    last = edges.filter("edge > 1").groupBy("bytes").agg(F.min(at).alias("_last"))
+    moved = ws.save(edges.filter("edge <> 2 AND NOT later").join(last, "bytes").filter(F.col("_last") < at).select("_id", "start"), f"{label}_moved")  # at most one row a range
+    own = judged.filter("NOT later").join(moved, ["_id", "start"], "left_anti").select("bytes", "_id", "start")
+    return own, judged.filter("later").select("_id", "start").unionByName(moved)
+
+
+def _hot_runs(segments: DataFrame, ws: Workspace) -> DataFrame:
+    """Marked strings of hot anchors: identical segments are all marked but the earliest, then the strings of those that are left."""
+    rows = segments.select(F.col("segment").alias("bytes"), "_id", "start")
+    length = segments.select("_id", "start", (F.octet_length("segment").cast("long") - LENGTH + 1).alias("n"))
+    own, copies = _in_order(rows, ws, "hot_segments")
+    strings = own.select("bytes", "_id", "start", F.explode(F.sequence(F.lit(0), F.octet_length("bytes") - LENGTH)).alias("_j"))
+    strings = strings.select(F.substring("bytes", F.col("_j") + 1, F.lit(LENGTH)).alias("bytes"), "_id", (F.col("start") + F.col("_j")).alias("start"))
+    later = _in_order(strings, ws, "hot_strings")[1].withColumn("n", F.lit(1).cast("long"))
+    return copies.join(length, ["_id", "start"]).unionByName(later).withColumn("start", F.col("start").cast("long"))
 
 
 def _strip(joined: DataFrame, key: str, schema) -> DataFrame:
@@ -259,7 +300,7 @@ def _strip(joined: DataFrame, key: str, schema) -> DataFrame:
 
 def _copies(docs: DataFrame, ws: Workspace) -> DataFrame:
     """(_id, _copy) of the documents whose text an earlier one has."""
-    texts = ws.save(docs.select("_id", F.unhex(F.md5(F.encode(F.coalesce("_text", F.lit("")), "utf-8"))).alias("_name")), "texts")
+    texts = ws.save(docs.select("_id", F.unhex(F.sha2(F.encode(F.coalesce("_text", F.lit("")), "utf-8"), 256)).alias("_name")), "texts")
     first = ws.save(texts.groupBy("_name").agg(F.min("_id").alias("_first"), F.count("*").alias("_n")).filter("_n > 1").select("_name", "_first"), "first")
     return ws.save(texts.join(first, "_name").filter("_id <> _first").select("_id", F.lit(True).alias("_copy")), "copies")
 
@@ -271,8 +312,9 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", hot:
     docs = _identified(df, ws, key, text)
     copies = _copies(docs, ws)
     found = ws.save(_anchor_table(docs), "anchors")
-    place = F.xxhash64("same", "run")
-    often = ws.save(found.groupBy("h").agg(F.min(place).alias("_a"), F.max(place).alias("_b")).filter("_a <> _b").select("h"), "often")
+    place = ("same", "same2", "run")
+    spans = found.groupBy("h").agg(*(f(c).alias(f"{f.__name__}_{c}") for c in place for f in (F.min, F.max)))
+    often = ws.save(spans.filter(" OR ".join(f"min_{c} <> max_{c}" for c in place)).select("h"), "often")
     runs = found.join(often, "h").groupBy("_id").agg(F.collect_list(F.struct("h", "run")).alias("_runs")).join(copies, "_id", "left_anti")
     runs = ws.save(runs, "repeated")
     ws.drop("anchors", "often")
@@ -280,14 +322,14 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", hot:
     segments = ws.save(_cut_segments(docs.join(runs, "_id")), "segments")
     ws.drop("repeated")
     ws.sweep()
-    large = ws.save(segments.groupBy("h").agg(F.sum(F.octet_length("segment") + 1).alias("_n")).filter(F.col("_n") > hot).select("h"), "hot")
+    large = ws.save(segments.groupBy("h").agg(F.sum(F.octet_length("segment") + 1).alias("_n")).filter(F.col("_n") > hot).select("h"), "large")
     split = bool(large.head(1))
     cold = segments.join(large, "h", "left_anti") if split else segments
     marked = cold.repartition("h").sortWithinPartitions("h").select("h", "segment", "_id", "start").mapInArrow(_sort_shards, "id long, start long, n long").withColumnRenamed("id", "_id")
     if split:
-        marked = marked.unionByName(_hot_runs(ws.save(segments.join(large, "h", "left_semi").withColumn("_name", F.unhex(F.md5("segment"))), "hot_segments"), ws))
+        marked = marked.unionByName(_hot_runs(ws.save(segments.join(large, "h", "left_semi"), "hot"), ws))
     marked = ws.save(marked.groupBy("_id").agg(F.collect_list(F.struct("start", "n")).alias("_runs")), "marked")
-    ws.drop("segments", "hot_segments")
+    ws.drop("segments", "hot")
     ws.sweep()
     return _strip(docs.join(marked, "_id", "left").join(copies, "_id", "left"), key, schema_of(docs, [key], "n_bytes long, n_removed long, n_spans long, kept_sha256 string"))
 

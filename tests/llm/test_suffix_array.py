@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 
 from scriptmill.llm import suffix_array as S
 from scriptmill.llm.difference_cover import suffix_array
+from scriptmill.runtime import Workspace
 
 
 @settings(max_examples=300, deadline=None)
@@ -46,7 +47,7 @@ def corpus():
     return docs
 
 
-@pytest.mark.parametrize("hot", [S.HOT, 2])
+@pytest.mark.parametrize("hot", [S.HOT, 2000, -1])
 def test_removal(spark, hot):
     rows = list(enumerate(corpus()))
     got = S.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS n_bytes", "'x' AS h").repartition(5), hot=hot)
@@ -75,16 +76,27 @@ def test_anchors_cover_every_string():
     assert all(len(x) == 1 for x in by_string.values())
 
 
-def test_anchor_of_many_distinct_segments(spark):
-    """A passage in 13,000 documents with other bytes around it in each: fewer segments than 20,000, more bytes than one sort takes."""
+@pytest.mark.parametrize("n", [5_000, 15_000, 30_000])
+def test_anchor_of_many_distinct_segments(spark, n):
+    """A passage in n documents with other bytes around it in each: one anchor, with at most or with more bytes than one sort takes."""
     rng = random.Random(5)
     letters = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
     pool = letters(300_000)
     data = np.frombuffer(pool.encode(), np.uint8)
     h = S._mix(S._eights(data)[:-8], S._eights(data)[8:])
     at = int(S._mix(h[:-16], h[16:]).argmin())  # a passage that is the anchor of all strings around it
-    sides = [(letters(70), letters(70)) for _ in range(13_000)]
+    sides = [(letters(70), letters(70)) for _ in range(n)]
     sides[-100:] = [(a, letters(70)) for a, _ in sides[:100]]
     rows = [(i, a + pool[at : at + S.GRAM] + b) for i, (a, b) in enumerate(sides)]
     got = sorted(tuple(r) for r in S.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect())
     assert got == direct(rows) and sum(x[2] > 0 for x in got) == 100
+
+
+def test_one_string_everywhere(spark):
+    """Equal strings that fill several ranges of the global order: the first row of a range is compared with the range before."""
+    rows = [(bytes([65 + i % 3]) * 100, i, j) for i in range(3000) for j in range(2)]
+    df = spark.createDataFrame([(bytearray(a), i, j) for a, i, j in rows], "bytes binary, _id long, start int").repartition(7)
+    own, later = S._in_order(df, Workspace(spark, "order"), "x")
+    assert sorted((bytes(r.bytes), r._id, r.start) for r in own.collect()) == [(bytes([65 + i]) * 100, i, 0) for i in range(3)]
+    got = [tuple(r) for r in later.collect()]
+    assert len(got) == len(set(got)) == len(rows) - 3

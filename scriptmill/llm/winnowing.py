@@ -37,15 +37,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scriptmill.llm.batches import map_texts, schema_of, slices
+from scriptmill.llm.bitmap import BITS, bitmap, known
 from scriptmill.runtime import Workspace, ship
 
 WINDOW, K = 10, 5
-BITMAP_BITS = 26
+BITMAP_BITS = BITS
 MEMO = 500_000
 _KEEP = bytes(range(0x30, 0x3A)) + bytes(range(0x61, 0x7B)) + bytes(range(0x80, 0x100))
 _TABLE = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b in _KEEP else 32 for b in range(256))
 _PRIME = np.uint64(0x100000001B3)
-_CHUNK = 1 << 15  # bits of one row of Spark's bitmap aggregate
 
 
 def words_of(text: str) -> list[bytes]:
@@ -155,31 +155,17 @@ def _prints(items: DataFrame, item: str, text: str) -> DataFrame:
     return items.select(F.coalesce(F.col(item).cast("string"), F.lit("null")), text).mapInArrow(run, f"item string, short int, {_PRINT}")
 
 
-def _bitmap(prints: DataFrame) -> np.ndarray:
-    """The set bits of the hashes' low ``BITMAP_BITS`` bits, as bytes."""
-    low = F.col("h").bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
-    rows = prints.select(F.floor(low / _CHUNK).alias("chunk"), (low % _CHUNK).alias("bit")).groupBy("chunk").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
-    out = np.zeros(((1 << BITMAP_BITS) // _CHUNK, _CHUNK // 8), np.uint8)
-    for r in rows:
-        out[r.chunk] = np.frombuffer(r.bits, np.uint8)
-    return out.ravel()
-
-
 def _offers(docs: DataFrame, keep: list[str], text: str, prints: DataFrame) -> DataFrame:
     """Kept columns, n_words, and the fingerprints (hash, context, places) that the bitmap leaves."""
     lengths = sorted(r.short for r in prints.filter("short > 0").select("short").distinct().collect())  # at most WINDOW - 1
-    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(prints))
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(prints, "h", BITMAP_BITS))
 
     def make():
-        grams, bits, mask = Grams(), shared.value, np.uint64((1 << BITMAP_BITS) - 1)
-
-        def known(h):
-            low = h & mask
-            return (bits[low >> np.uint64(3)] >> (low & np.uint64(7)).astype(np.uint8)) & 1 > 0
+        grams = Grams()
 
         def fn(texts):
             words = [words_of(x) for x in texts]
-            found = [contexts(w, offered(grams(w), lengths, known)) for w in words]
+            found = [contexts(w, offered(grams(w), lengths, lambda h: known(shared.value, h))) for w in words]
             return {"n_words": list(map(len, words)), "_offers": [[{"h": h, "lead": lead, "context": c, "at": at} for (h, lead, c), at in x.items()] for x in found]}
 
         return fn

@@ -6,13 +6,11 @@ import argparse
 import json
 import logging
 import os
-import re
 import sys
 from dataclasses import dataclass
 
-from scriptmill.schema import ConfigError, EngineError
+from scriptmill.schema import SECRET, ConfigError, EngineError
 
-SECRET = re.compile(r"\b(?:gsk_|sk_)[A-Za-z0-9_\-]{16,}")
 
 
 class Redact(logging.Filter):
@@ -72,6 +70,9 @@ def parser() -> argparse.ArgumentParser:
     a.add_argument("--alternative", help="a folder of second transcriptions with the same file names")
     a.add_argument("--overwrite", action="store_true")
     a.add_argument("--log-dir")
+    a.add_argument("--report", type=int, default=0, metavar="N", help="print the closing block of the first N transcripts")
+    e = sub.add_parser("check-env", help="say which tools are there")
+    e.add_argument("--strict", action="store_true", help="fail if one is missing")
     b = sub.add_parser("list", help="list media files of a folder")
     b.add_argument("data_dir")
     c = sub.add_parser("glossary", help="validate a glossary and summarise it")
@@ -100,15 +101,38 @@ def _prepare(args: argparse.Namespace, config: Config) -> int:
         named = lambda x: x.withColumn("_name", base("transcript_id")).join(ids, "_name").drop("transcript_id", "_name").withColumnRenamed("_id", "transcript_id")
         alternative = named(t), named(s)
     prepared = engine.prepare_transcripts(report, glossary, alternative)
-    status = prepared.documents.select("transcript_id", F.col("verification_status").alias("status"))
     sinks.write_documents(engine.prepared_document(prepared.documents, glossary), f"{config.output_dir}/documents", args.overwrite)
-    sinks.write_documents(engine.qa_document(report, status), f"{config.output_dir}/reports", args.overwrite)
+    sinks.write_documents(engine.qa_document(report, prepared.verification), f"{config.output_dir}/reports", args.overwrite)
     sinks.write_texts(prepared.documents, f"{config.output_dir}/texts", args.overwrite)
     n = prepared.documents.groupBy("run_status").count().orderBy("run_status").collect()
     print("\n".join(f"{r[0]}: {r[1]}" for r in n))
+    if args.report:
+        for r in console_reports(prepared.documents).orderBy("transcript_id").limit(args.report).collect():
+            print(f"\n{r.report}")
     return 0
 
 
+def console_reports(documents):
+    """(transcript_id, report): the closing block of each transcript, as text."""
+    from pyspark.sql import functions as F
+
+    from scriptmill.schema import SEVERITIES
+
+    line = lambda name, value: F.concat(F.lit(f"  {name:<20}: "), F.coalesce(value.cast("string"), F.lit("unknown")))
+    counts = F.array_join(F.array_compact(F.array(*[F.when(F.col(s) > 0, F.concat(F.lit(f"{s}="), F.col(s).cast("string"))) for s in SEVERITIES])), ", ")
+    worst = F.concat(F.col("total_findings").cast("string"), F.lit(" (worst: "), F.coalesce("max_severity", F.lit("none")), F.lit(")"))
+    notes = F.transform(F.coalesce("notes", F.array().cast("array<string>")), lambda n: F.concat(F.lit("  Review: "), n))
+    parts = [F.concat(F.lit("Prepared - "), F.upper("run_status")), line("Transcript", F.col("transcript_id")), line("Source model", F.col("model") if "model" in documents.columns else F.lit(None)), line("Segments prepared", F.size(F.coalesce("segments", F.array()))), line("Findings", worst), line("Verification", F.col("verification_status")), F.when(counts != "", line("Findings by severity", counts))]
+    return documents.select("transcript_id", F.array_join(F.concat(F.array_compact(F.array(*parts)), notes), "\n").alias("report"))
+
+
+def check_environment() -> dict[str, bool]:
+    """What a run needs and whether it is there."""
+    import shutil
+
+    return {"java": bool(shutil.which("java") or os.environ.get("JAVA_HOME")), "ffmpeg": bool(shutil.which("ffmpeg")), "ffprobe": bool(shutil.which("ffprobe"))}
+
+
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     try:
@@ -122,6 +146,10 @@ def main(argv: list[str] | None = None) -> int:
         logging.basicConfig(level=logging.INFO, handlers=handlers, force=True)
         if args.command == "prepare":
             return _prepare(args, config)
+        if args.command == "check-env":
+            found = check_environment()
+            print("\n".join(f"{k}: {'ok' if v else 'missing'}" for k, v in found.items()))
+            return ConfigError.exit_code if args.strict and not all(found.values()) else 0
         if args.command == "list":
             from pyspark.sql import SparkSession
 

@@ -42,8 +42,18 @@ def empty_findings(spark) -> DataFrame:
     return spark.createDataFrame([], FINDING_DDL)
 
 
-def segment_checks(bound: DataFrame, th: Thresholds = Thresholds()) -> DataFrame:
-    """All checks that look at a segment and its neighbours, from one scan and one sort per transcript. Needs a column reference_s (null: unknown)."""
+def bare(seq, emit, type_, severity, ids, start=None, end=None, **evidence) -> Column:
+    """A finding without its evidence, for reports that only count."""
+    return finding(seq, emit, type_, severity, ids, start, end)
+
+
+def segment_checks(bound: DataFrame, th: Thresholds = Thresholds(), kinds: set[str] | None = None, evidence: bool = True) -> DataFrame:
+    """The checks that look at a segment and its neighbours, from one scan and one sort per transcript. Needs a column reference_s (null: unknown).
+
+    With ``kinds``, only these types are looked for, so that neither their
+    columns nor their windows are made for others.
+    """
+    make = finding if evidence else bare
     order = Window.partitionBy("transcript_id").orderBy("idx")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("transcript_id")
@@ -59,20 +69,20 @@ def segment_checks(bound: DataFrame, th: Thresholds = Thresholds()) -> DataFrame
     bad = F.array_compact(F.array(F.when(~F.col("start_valid"), "start"), F.when(~F.col("end_valid"), "end")))
     usable = F.col("start_valid") & F.col("end_valid")
     late = (start > ref + th.bounds) | (end > ref + th.bounds)
-    return _rows(
-        s,
-        F.when(F.trim("cleaned") == "", finding(EMPTY, idx, "empty_segment", "medium", key, start, end, raw_text=F.col("text"))),
-        F.when(~usable, finding(TIMES, idx, "invalid_timestamp", "high", key, None, None, fields=F.array_join(bad, ","), start_raw=F.col("start_raw"), end_raw=F.col("end_raw"))),
-        F.when(usable & (end <= start), finding(TIMES, idx, "segment_end_before_start", "critical", key, start, end)),
-        F.when(start < F.col("_prev_start"), finding(ORDER, idx, "segment_out_of_order", "high", F.array("_prev_key", "key"), None, None, previous_start=F.col("_prev_start"), current_start=start)),
-        F.when(timed & (delta > th.gap), finding(PAIRS, idx, "segment_gap", "low", pair, F.col("_prev_end"), start, gap_seconds=F.round(delta, 3))),
-        F.when(timed & (delta < -th.overlap), finding(PAIRS, idx, "segment_overlap", "medium", pair, start, F.col("_prev_end"), overlap_seconds=F.round(-delta, 3))),
-        F.when(timed & late, finding(BOUNDS, idx, "segment_timestamp_out_of_bounds", "high", key, start, end, reference_duration_seconds=F.round(ref, 3))),
-        F.when((idx == F.col("_first_timed")) & ref.isNotNull() & (start > th.start_silence), finding(COVERAGE, F.lit(0), "incomplete_speech_at_start", "medium", key, F.lit(0.0), start, uncovered_seconds=F.round(start, 3))),
-        F.when((idx == F.col("_next_timed")) & (ref - end > th.end_silence), finding(COVERAGE, F.lit(1), "incomplete_speech_at_end", "medium", key, end, ref, uncovered_seconds=F.round(ref - end, 3))),
-        F.when(F.col("duration") < th.shortest, finding(LENGTHS, idx, "segment_suspiciously_short", "low", key, start, end, duration_seconds=F.round("duration", 3)))
-        .when(F.col("duration") > limit, finding(LENGTHS, idx, "segment_suspiciously_long", "medium", key, start, end, duration_seconds=F.round("duration", 3), median_duration_seconds=F.round("_median", 3), long_segment_threshold_seconds=F.round(limit, 3))),
-    )
+    found = {
+        "empty_segment": lambda: F.when(F.trim("cleaned") == "", make(EMPTY, idx, "empty_segment", "medium", key, start, end, raw_text=F.col("text"))),
+        "invalid_timestamp": lambda: F.when(~usable, make(TIMES, idx, "invalid_timestamp", "high", key, None, None, fields=F.array_join(bad, ","), start_raw=F.col("start_raw"), end_raw=F.col("end_raw"))),
+        "segment_end_before_start": lambda: F.when(usable & (end <= start), make(TIMES, idx, "segment_end_before_start", "critical", key, start, end)),
+        "segment_out_of_order": lambda: F.when(start < F.col("_prev_start"), make(ORDER, idx, "segment_out_of_order", "high", F.array("_prev_key", "key"), None, None, previous_start=F.col("_prev_start"), current_start=start)),
+        "segment_gap": lambda: F.when(timed & (delta > th.gap), make(PAIRS, idx, "segment_gap", "low", pair, F.col("_prev_end"), start, gap_seconds=F.round(delta, 3))),
+        "segment_overlap": lambda: F.when(timed & (delta < -th.overlap), make(PAIRS, idx, "segment_overlap", "medium", pair, start, F.col("_prev_end"), overlap_seconds=F.round(-delta, 3))),
+        "segment_timestamp_out_of_bounds": lambda: F.when(timed & late, make(BOUNDS, idx, "segment_timestamp_out_of_bounds", "high", key, start, end, reference_duration_seconds=F.round(ref, 3))),
+        "incomplete_speech_at_start": lambda: F.when((idx == F.col("_first_timed")) & ref.isNotNull() & (start > th.start_silence), make(COVERAGE, F.lit(0), "incomplete_speech_at_start", "medium", key, F.lit(0.0), start, uncovered_seconds=F.round(start, 3))),
+        "incomplete_speech_at_end": lambda: F.when((idx == F.col("_next_timed")) & (ref - end > th.end_silence), make(COVERAGE, F.lit(1), "incomplete_speech_at_end", "medium", key, end, ref, uncovered_seconds=F.round(ref - end, 3))),
+        "segment_suspiciously_short": lambda: F.when(F.col("duration") < th.shortest, make(LENGTHS, idx, "segment_suspiciously_short", "low", key, start, end, duration_seconds=F.round("duration", 3))),
+        "segment_suspiciously_long": lambda: F.when(F.col("duration") > limit, make(LENGTHS, idx, "segment_suspiciously_long", "medium", key, start, end, duration_seconds=F.round("duration", 3), median_duration_seconds=F.round("_median", 3), long_segment_threshold_seconds=F.round(limit, 3))),
+    }
+    return _rows(s, *(f() for kind, f in found.items() if kinds is None or kind in kinds))
 
 
 def structure_check(transcripts: DataFrame, segments: DataFrame) -> DataFrame:
@@ -133,8 +143,9 @@ def duplicate_groups(bound: DataFrame) -> DataFrame:
     )
 
 
-def duplicate_checks(groups: DataFrame, th: Thresholds = Thresholds(), compatibility: bool = True) -> DataFrame:
+def duplicate_checks(groups: DataFrame, th: Thresholds = Thresholds(), compatibility: bool = True, evidence: bool = True) -> DataFrame:
     """Findings of duplicate groups, and of copies that last very differently."""
+    make = finding if evidence else bare
     unlike = ~F.col("same_text")
     key = lambda c: F.when(unlike, comparison_key(c, compatibility))
     g = groups.withColumns({"_a": key("first_text"), "_b": key("last_text")})
@@ -142,10 +153,10 @@ def duplicate_checks(groups: DataFrame, th: Thresholds = Thresholds(), compatibi
     emit, exact = F.col("first_idx") * 2, F.col("same_text")
     return _rows(
         g,
-        finding(DUPLICATES, emit, F.when(exact, "exact_duplicate_segment").otherwise("near_duplicate_segment"), F.when(exact & F.col("adjacent"), "high").otherwise("medium"), F.col("segment_ids"), F.col("range_start"), F.col("range_end"),
+        make(DUPLICATES, emit, F.when(exact, "exact_duplicate_segment").otherwise("near_duplicate_segment"), F.when(exact & F.col("adjacent"), "high").otherwise("medium"), F.col("segment_ids"), F.col("range_start"), F.col("range_end"),
                 exact_match=exact, adjacent=F.col("adjacent"), similarity=F.round("_ratio", 4), normalized_text=F.substring("normalized_text", 1, 200), segment_count=F.col("size")),
         F.when(exact & (F.col("n_durations") >= 2) & (F.col("shortest") > 0) & (F.col("longest") / F.nullif(F.col("shortest"), F.lit(0.0)) >= th.duration_ratio),
-               finding(DUPLICATES, emit + 1, "duplicate_segment_duration_mismatch", "high", F.col("segment_ids"), F.col("range_start"), F.col("range_end"), shortest_seconds=F.round("shortest", 3), longest_seconds=F.round("longest", 3))),
+               make(DUPLICATES, emit + 1, "duplicate_segment_duration_mismatch", "high", F.col("segment_ids"), F.col("range_start"), F.col("range_end"), shortest_seconds=F.round("shortest", 3), longest_seconds=F.round("longest", 3))),
     )
 
 
@@ -158,8 +169,14 @@ def word_ranges(bound: DataFrame) -> DataFrame:
 
 
 def segments_at(positions: DataFrame, bound: DataFrame) -> DataFrame:
-    """Rows (transcript_id, pos, ...) with the segment that covers the word position: an equi-join on the transcript with a range residual."""
-    return positions.join(word_ranges(bound).select("transcript_id", "key", "first_word", "past_word"), "transcript_id").filter("pos >= first_word AND pos < past_word").drop("first_word", "past_word")
+    """Rows (transcript_id, pos, ...) with the segment that covers the word position: positions and first words of a transcript in one order, where the last segment before a position is the one. Linear in both, not their product."""
+    words = word_ranges(bound).filter("past_word > first_word")
+    place = positions.schema["pos"].dataType
+    starts = words.select("transcript_id", F.col("first_word").cast(place).alias("pos"), F.struct("past_word", "key").alias("_seg"), F.lit(0).alias("_asked"))
+    both = positions.withColumns({"_seg": F.lit(None).cast(starts.schema["_seg"].dataType), "_asked": F.lit(1)}).unionByName(starts, allowMissingColumns=True)
+    so_far = Window.partitionBy("transcript_id").orderBy("pos", "_asked").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    at = both.withColumn("_seg", F.last("_seg", True).over(so_far)).filter("_asked = 1 AND pos >= 0 AND pos < _seg.past_word")
+    return at.select(*positions.columns, F.col("_seg.key").alias("key"))
 
 
 def phrase_checks(transcripts: DataFrame, bound: DataFrame, th: Thresholds = Thresholds(), compatibility: bool = True) -> DataFrame:

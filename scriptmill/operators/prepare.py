@@ -75,7 +75,7 @@ def assembled(transcripts: DataFrame, prepared: DataFrame, compatibility: bool =
 def run_status(summary: DataFrame, status: DataFrame) -> DataFrame:
     """(transcript_id, run_status): what a reviewer must look at."""
     s = summary.select("transcript_id", "needs_review").join(status, "transcript_id", "left")
-    return s.select("transcript_id", F.when(F.col("needs_review") | F.coalesce(F.col("status").isin("duplicate_confirmed", "inconclusive", "failed"), F.lit(False)), "needs_review").otherwise("ready").alias("run_status"))
+    return s.select("transcript_id", F.when(F.col("needs_review") | F.coalesce(F.col("status").isin("duplicate_confirmed", "inconclusive", "failed"), F.lit(False)), "needs_review").otherwise("ok").alias("run_status"))
 
 
 def review_notes(findings: DataFrame, groups: DataFrame, status: DataFrame, prepared: DataFrame) -> DataFrame:

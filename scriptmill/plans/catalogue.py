@@ -193,14 +193,10 @@ def _(spark, sf):
 
 # --- checks on timing ------------------------------------------------------
 
-def _timing(spark, sf) -> DataFrame:
-    seg = adapters.seg_lineitem(spark, sf, "idx").withColumn("reference_s", F.lit(REFERENCE_S))
-    return checks.segment_checks(transcripts.bind(seg, compatibility=False))
-
-
 def _of(kind: str, *fields: str):
     def f(spark, sf):
-        found = _timing(spark, sf).filter(F.col("type") == kind)
+        seg = adapters.seg_lineitem(spark, sf, "idx").withColumn("reference_s", F.lit(REFERENCE_S))
+        found = checks.segment_checks(transcripts.bind(seg, compatibility=False), kinds={kind}, evidence=False)
         return found.select("transcript_id", F.array_join("segment_ids", ",").alias("ids"), "severity", *fields)
 
     return f
@@ -222,13 +218,13 @@ QUERIES["out_of_order"] = _of("segment_out_of_order")
 SQL["out_of_order"] = f"WITH {_T} SELECT transcript_id, {_PAIR} AS ids, 'high' AS severity FROM t WHERE s < ps"
 
 
-def _odd(spark, sf) -> DataFrame:
+def _odd(spark, sf, kind) -> DataFrame:
     """Events with broken times: every fifth ends before its start, every seventh has no start, every eleventh is very short, every thirteenth blank."""
     s, e, k = F.col("start"), F.col("end"), F.col("key").cast("long")
     seg = adapters.seg_events(spark, sf)
     seg = seg.select("transcript_id", "idx", "key", F.when(k % 13 == 0, " ​ ").otherwise(F.col("text")).alias("text"), F.when(k % 7 != 0, s).alias("_s"), F.when(k % 5 == 0, s - 1).when(k % 11 == 0, s + 0.125).otherwise(F.floor(s) + 5).alias("_e"))
     seg = transcripts.segment_table(seg.withColumn("_s", F.when(k % 5 == 0, F.col("_s")).when(k % 11 == 0, F.col("_s")).otherwise(F.floor("_s"))), F.col("_s"), F.col("_e"))
-    return checks.segment_checks(transcripts.bind(seg.withColumn("reference_s", F.lit(None).cast("double")), compatibility=False))
+    return checks.segment_checks(transcripts.bind(seg.withColumn("reference_s", F.lit(None).cast("double")), compatibility=False), kinds={kind}, evidence=False)
 
 
 _ODD = f"{_EV}, o AS (SELECT transcript_id, idx, key, CASE WHEN key::BIGINT % 7 <> 0 THEN CASE WHEN key::BIGINT % 5 = 0 OR key::BIGINT % 11 = 0 THEN s ELSE floor(s) END END AS s, CASE WHEN key::BIGINT % 5 = 0 THEN s - 1 WHEN key::BIGINT % 11 = 0 THEN s + 0.125 ELSE floor(s) + 5 END AS e FROM ev)"
@@ -238,7 +234,7 @@ for _name, _kind, _sev, _where in (
     ("short_segments", "segment_suspiciously_short", "low", "e >= s AND e - s < 0.2"),
     ("empty_segments", "empty_segment", "medium", "key::BIGINT % 13 = 0"),
 ):
-    QUERIES[_name] = (lambda kind: lambda spark, sf: _odd(spark, sf).filter(F.col("type") == kind).select("transcript_id", F.array_join("segment_ids", ",").alias("ids"), "severity"))(_kind)
+    QUERIES[_name] = (lambda kind: lambda spark, sf: _odd(spark, sf, kind).select("transcript_id", F.array_join("segment_ids", ",").alias("ids"), "severity"))(_kind)
     SQL[_name] = f"WITH {_ODD} SELECT transcript_id, key AS ids, '{_sev}' AS severity FROM o WHERE {_where}"
 
 
@@ -283,12 +279,13 @@ def _(spark, sf):
     return f.select("transcript_id", F.array_join("segment_ids", ",").alias("ids"), "severity", F.col("evidence")["shortest_seconds"].cast("double").alias("shortest"), F.col("evidence")["longest_seconds"].cast("double").alias("longest"))
 
 
-@query("cross_document_duplicates", f"WITH d AS (SELECT source AS transcript_id, doc_id, {_sql_key('text')} AS norm FROM documents) SELECT transcript_id, sha256(norm) AS digest, string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) AS ids FROM d WHERE norm <> '' GROUP BY 1, norm, 2 HAVING count(*) > 1")
+@query("cross_document_duplicates", f"WITH d AS (SELECT source AS transcript_id, doc_id, {_sql_key('text')} AS norm FROM documents) SELECT transcript_id, sha256(norm) AS digest, doc_id, min(doc_id) OVER w AS first_doc_id, count(*) OVER w AS copies FROM d WHERE norm <> '' WINDOW w AS (PARTITION BY transcript_id, norm) QUALIFY count(*) OVER w > 1")
 def _(spark, sf):
-    """Documents of a source with the same key: grouped by digest, so that texts are not shuffled."""
+    """Documents of a source with the same key, one row each with the first of its group: groups are found by digest with partial aggregates, so neither texts nor members of a large group meet anywhere."""
     d = table(spark, sf, "documents", "doc_id", "source", "text").select(F.col("source").alias("transcript_id"), "doc_id", text.comparison_key("text").alias("norm"))
-    g = d.filter("norm <> ''").select("transcript_id", "doc_id", F.sha2("norm", 256).alias("digest")).groupBy("transcript_id", "digest").agg(F.array_sort(F.collect_list("doc_id")).alias("ids"))
-    return g.filter(F.size("ids") > 1).select("transcript_id", "digest", F.array_join(F.transform("ids", lambda x: x.cast("string")), ",").alias("ids"))
+    d = d.filter("norm <> ''").select("transcript_id", "doc_id", F.sha2("norm", 256).alias("digest"))
+    g = d.groupBy("transcript_id", "digest").agg(F.min("doc_id").alias("first_doc_id"), F.count("*").alias("copies")).filter("copies > 1")
+    return d.join(g, ["transcript_id", "digest"]).select("transcript_id", "digest", "doc_id", "first_doc_id", "copies")
 
 
 @query("transcript_mismatch")
@@ -395,7 +392,15 @@ def _(spark, sf):
     return terms.find_confusables(adapters.tx_documents(spark, sf), GLOSSARY).filter("source = 'anchored_edit'").select("transcript_id", "word", "suspected_word", "position")
 
 
-@query("confusable_findings")
+_CTOK = f"tx AS (SELECT transcript_id, string_agg(text, ' ' ORDER BY idx) AS text FROM conv GROUP BY 1), tk AS (SELECT transcript_id, {_sql_tokens('text')} AS t FROM tx), p AS (SELECT transcript_id, t, unnest(t) AS w, generate_subscripts(t, 1) AS i FROM tk)"
+
+
+@query("confusable_findings", f"""WITH {_CONV}, {_CTOK}, a(f, s) AS (VALUES ('ther', 'the'), ('thing', 'and'), ('eren', 'was'), ('this', 'the'), ('large', 'bolt'), ('cold', 'widget')),
+c AS (SELECT DISTINCT transcript_id, w, CASE w WHEN 'from' THEN 'form' ELSE 'arin' END AS f FROM p WHERE w IN ('from', 'erin')
+UNION SELECT DISTINCT transcript_id, w, f FROM (SELECT transcript_id, w, t[i + 1] AS nx FROM p WHERE length(w) >= 4 AND w NOT IN ('of','the','that','is','was','and','a','to','be','large','small','bolt','cold','widget')) JOIN a ON nx = s WHERE damerau_levenshtein(w, f) = 1),
+g AS (SELECT transcript_id, w, min(f) AS f FROM c GROUP BY 1, 2),
+ids AS (SELECT transcript_id, w, string_agg(idx::VARCHAR, ',' ORDER BY idx) AS ids FROM (SELECT DISTINCT transcript_id, idx, unnest({_sql_tokens('text')}) AS w FROM conv) GROUP BY 1, 2)
+SELECT transcript_id, coalesce(ids, '') AS ids, w AS word, f AS suspected_word FROM g LEFT JOIN ids USING (transcript_id, w)""")
 def _(spark, sf):
     b = transcripts.bind(adapters.seg_conversations(spark, sf))
     f = checks.confusable_checks(adapters.tx_conversations(spark, sf), b, GLOSSARY)
@@ -411,9 +416,9 @@ def _(spark, sf):
 # --- report ----------------------------------------------------------------
 
 def _findings(spark, sf) -> DataFrame:
-    """Timing and duplicate findings of all orders from one scan."""
+    """Timing and duplicate findings of all orders, without evidence: these reports only count and order."""
     seg = transcripts.bind(adapters.seg_lineitem(spark, sf, "idx").withColumn("reference_s", F.lit(REFERENCE_S)), compatibility=False)
-    return checks.segment_checks(seg).unionByName(checks.duplicate_checks(checks.duplicate_groups(seg), compatibility=False))
+    return checks.segment_checks(seg, evidence=False).unionByName(checks.duplicate_checks(checks.duplicate_groups(seg), compatibility=False, evidence=False))
 
 
 _F = f"""{_T}, d AS (SELECT transcript_id, text, min(idx) AS first_idx, string_agg(idx::VARCHAR, ',' ORDER BY idx) AS ids, list(idx) AS members, max(idx) - min(idx) = count(*) - 1 AS adjacent, min(s) AS rs, max(e) AS re, min(e - s) AS lo, max(e - s) AS hi FROM seg GROUP BY 1, 2 HAVING count(*) > 1),
@@ -481,7 +486,8 @@ v AS (SELECT *, CASE WHEN ac = 0 AND oc > 0 THEN 'absent_from_alternative' WHEN
 o AS (SELECT transcript_id, count(*) FILTER (verdict = 'present_in_alternative') AS confirmed, count(*) FILTER (verdict <> 'present_in_alternative') AS contradicted, bool_or(blank) AS blank FROM v GROUP BY 1),
 st AS (SELECT transcript_id, CASE WHEN blank OR (confirmed > 0 AND contradicted > 0) THEN 'inconclusive' WHEN contradicted > 0 THEN 'duplicate_contradicted' ELSE 'duplicate_confirmed' END AS status, confirmed, contradicted FROM o),
 su AS (SELECT DISTINCT transcript_id, unnest(members) AS i FROM g WHERE adjacent OR (lo > 0 AND hi / lo >= 2)),
-mp AS (SELECT transcript_id, first_idx, i, min(i) OVER (PARTITION BY transcript_id, first_idx) AS f FROM (SELECT v.transcript_id, first_idx, unnest(members) AS i FROM v JOIN st USING (transcript_id) WHERE status = 'duplicate_contradicted' AND verdict <> 'present_in_alternative') JOIN su USING (transcript_id, i))"""
+mp0 AS (SELECT transcript_id, first_idx, i, min(i) OVER (PARTITION BY transcript_id, first_idx) AS f FROM (SELECT v.transcript_id, first_idx, unnest(members) AS i FROM v JOIN st USING (transcript_id) WHERE status = 'duplicate_contradicted' AND verdict <> 'present_in_alternative' AND NOT EXISTS (SELECT 1 FROM seg z WHERE z.transcript_id = v.transcript_id AND {_sql_key('z.text')} = v.phrase AND z.transcript_id::BIGINT % 3 = 0 AND z.idx % 2 = 0)) JOIN su USING (transcript_id, i)),
+mp AS (SELECT transcript_id, first_idx, i, f FROM mp0 QUALIFY count(*) OVER (PARTITION BY transcript_id, first_idx) > 1)"""
 
 
 @query("verification_verdicts", f"WITH {_V} SELECT transcript_id, phrase, oc::BIGINT AS in_original, ac::BIGINT AS in_alternative, verdict FROM v")
@@ -504,11 +510,17 @@ def _(spark, sf):
     return prepare.suspect_keys(_findings(spark, sf))
 
 
+def _alternative_segments(seg: DataFrame) -> DataFrame:
+    """Segments of the second transcriptions: every second segment of every third order as it was, all others in other words."""
+    same = (F.col("transcript_id").cast("long") % 3 == 0) & (F.col("idx") % 2 == 0)
+    return seg.select("transcript_id", "idx", "key", "start", "end", F.when(same, F.col("text")).otherwise(F.concat(F.lit("so "), "text")).alias("text"))
+
+
 def _merges(spark, sf):
     seg, tx, _, groups, verdicts = _verified(spark, sf)
     suspects = prepare.suspect_keys(checks.duplicate_checks(groups, compatibility=False))
-    none = seg.limit(0).select("transcript_id", "text")
-    return seg, tx, suspects, prepare.merge_plan(seg, verdicts, verify.outcomes(verdicts), suspects, none, compatibility=False)
+    alt = _alternative_segments(seg)
+    return seg, tx, suspects, prepare.merge_plan(seg, verdicts, verify.outcomes(verdicts), suspects, alt, compatibility=False)
 
 
 @query("merge_plan", f"WITH {_V} SELECT transcript_id, f::INTEGER AS merge_first, i::INTEGER AS idx FROM mp")
@@ -527,14 +539,17 @@ def _(spark, sf):
     return p.select("transcript_id", "place", "segment_id", F.array_join("source_segment_ids", ",").alias("ids"), "cleaned_text", "start_seconds", "end_seconds", "correction_status", "timestamp_confidence")
 
 
-@query("cleaning_summary", f"WITH {_CONV}, x AS (SELECT transcript_id, string_agg(text, ' ' ORDER BY idx) AS t FROM conv GROUP BY 1) SELECT transcript_id, len({_sql_tokens('t')})::INTEGER AS raw_word_count, len({_sql_tokens('t')})::INTEGER AS cleaned_word_count, 0 AS new_words FROM x")
+_CLEAN_TX = f"cc AS (SELECT *, {_sql_clean('text')} AS ct FROM conv), x AS (SELECT transcript_id, string_agg(text, ' ' ORDER BY idx) AS t, regexp_replace(coalesce(string_agg(ct, ' ' ORDER BY idx) FILTER (ct <> ''), ''), '[{_WS}]+([,.;:!?])', '\\1', 'g') AS joined FROM cc GROUP BY 1)"
+
+
+@query("cleaning_summary", f"WITH {_CONV}, {_CLEAN_TX} SELECT transcript_id, len({_sql_tokens('t')})::INTEGER AS raw_word_count, len({_sql_tokens('t')})::INTEGER AS cleaned_word_count, 0 AS new_words, CASE WHEN joined <> '' THEN joined ELSE {_sql_clean('t')} END AS cleaned_transcript FROM x")
 def _(spark, sf):
     b, tx = transcripts.bind(adapters.seg_conversations(spark, sf)), adapters.tx_conversations(spark, sf)
     p = b.select("transcript_id", F.col("idx").alias("place"), F.col("cleaned").alias("cleaned_text"))
-    return prepare.assembled(tx, p).select("transcript_id", "raw_word_count", "cleaned_word_count", F.size("unexpected_new_words").alias("new_words"))
+    return prepare.assembled(tx, p).select("transcript_id", "raw_word_count", "cleaned_word_count", F.size("unexpected_new_words").alias("new_words"), "cleaned_transcript")
 
 
-@query("run_status", f"WITH {_F}, n AS (SELECT s.transcript_id, coalesce(bool_or(rank <= 2), false) AS bad FROM (SELECT DISTINCT transcript_id FROM seg) s LEFT JOIN f USING (transcript_id) GROUP BY 1) SELECT transcript_id, CASE WHEN bad OR transcript_id::BIGINT % 5 = 0 THEN 'needs_review' ELSE 'ready' END AS run_status FROM n")
+@query("run_status", f"WITH {_F}, n AS (SELECT s.transcript_id, coalesce(bool_or(rank <= 2), false) AS bad FROM (SELECT DISTINCT transcript_id FROM seg) s LEFT JOIN f USING (transcript_id) GROUP BY 1) SELECT transcript_id, CASE WHEN bad OR transcript_id::BIGINT % 5 = 0 THEN 'needs_review' ELSE 'ok' END AS run_status FROM n")
 def _(spark, sf):
     t = adapters.seg_lineitem(spark, sf, "idx").select("transcript_id").distinct()
     status = t.withColumn("status", F.when(F.col("transcript_id").cast("long") % 5 == 0, "inconclusive").otherwise("not_performed"))
@@ -659,3 +674,65 @@ def _(spark, sf):
     status = seg.select("transcript_id").distinct().withColumn("status", F.lit("not_performed"))
     none = spark.createDataFrame([], "transcript_id string, place int, segment_id string, source_segment_ids array<string>, quality_flags array<string>")
     return prepare.review_notes(f, groups, status, none).select("transcript_id", F.array_join("notes", " | ").alias("notes"))
+
+
+# --- documents -------------------------------------------------------------
+
+def _documents(spark, sf):
+    """Prepared orders with second transcriptions that failed for every ninth."""
+    seg, tx, alt, groups, _ = _verified(spark, sf)
+    findings = checks.duplicate_checks(groups, compatibility=False)
+    r = engine.Report(tx.withColumn("reference_s", F.lit(REFERENCE_S)), seg, findings, groups)
+    ninth = F.col("transcript_id").cast("long") % 9 == 0
+    failures = tx.filter(ninth).select("transcript_id", F.lit("no answer").alias("error"), F.lit(2).alias("attempts"), F.lit(True).alias("retryable"))
+    alternative = (alt.filter(~ninth).withColumn("model", F.lit("second")), _alternative_segments(seg).filter(~ninth))
+    return r, engine.prepare_transcripts(r, GLOSSARY, alternative, failures, compatibility=False)
+
+
+_NINTH = "transcript_id::BIGINT % 9 = 0"
+_STATUS = f"sx AS (SELECT x.transcript_id, own, CASE WHEN q.transcript_id IS NULL THEN 'not_performed' WHEN x.{_NINTH} THEN 'failed' ELSE status END AS status, confirmed, contradicted FROM x LEFT JOIN (SELECT DISTINCT transcript_id FROM g) q USING (transcript_id) LEFT JOIN st USING (transcript_id))"
+
+
+@query("verification_records", f"WITH {_V}, {_STATUS}, n AS (SELECT transcript_id, count(*) AS n, string_agg(phrase || '=' || verdict, ',' ORDER BY first_idx) AS said FROM v GROUP BY 1) SELECT transcript_id, status <> 'not_performed' AS performed, status, CASE WHEN status = 'not_performed' THEN 'none' ELSE 'second_transcription' END AS method, CASE WHEN status = 'not_performed' THEN 0 WHEN status = 'failed' THEN 2 ELSE 1 END AS attempts, CASE WHEN NOT {_NINTH} THEN 'second' END AS model, status = 'duplicate_contradicted' AS supports_correction, CASE WHEN NOT {_NINTH} THEN confirmed END AS confirmed, CASE WHEN NOT {_NINTH} THEN contradicted END AS contradicted, CASE WHEN NOT {_NINTH} THEN said END AS said, CASE WHEN status = 'failed' THEN 'no answer' END AS last_error FROM sx LEFT JOIN n USING (transcript_id)")
+def _(spark, sf):
+    v = F.col("verification")
+    said = F.array_join(F.transform(v["evidence"]["groups"], lambda g: F.concat(g["phrase"], F.lit("="), g["verdict"])), ",")
+    return _documents(spark, sf)[1].verification.select("transcript_id", *(v[c] for c in ("performed", "status", "method", "attempts", "model", "supports_correction")), v["evidence"]["confirmed_groups"].alias("confirmed"), v["evidence"]["contradicted_groups"].alias("contradicted"), said.alias("said"), v["evidence"]["last_error"].alias("last_error"))
+
+
+@query("alternative_segments", f"WITH {_SEG}, z AS (SELECT transcript_id, idx, s, e, CASE WHEN transcript_id::BIGINT % 3 = 0 AND idx % 2 = 0 THEN text ELSE 'so ' || text END AS text FROM seg WHERE NOT {_NINTH}) SELECT transcript_id, count(*)::INTEGER AS n, string_agg(idx::VARCHAR || ':' || text, ',' ORDER BY idx) AS listed, string_agg(text, ' ' ORDER BY idx) AS merged_text, sum(e - s) AS seconds FROM z GROUP BY 1")
+def _(spark, sf):
+    """The second transcriptions as reports show them."""
+    d = _documents(spark, sf)[1].verification.filter("alternative_segments IS NOT NULL")
+    s = F.col("alternative_segments")
+    return d.select("transcript_id", F.size(s).alias("n"), F.array_join(F.transform(s, lambda x: F.concat(x["id"], F.lit(":"), x["text"])), ",").alias("listed"), F.col("alternative_text").alias("merged_text"), F.aggregate(s, F.lit(0.0), lambda a, x: a + x["end"] - x["start"]).alias("seconds"))
+
+
+@query("qa_documents", f"WITH {_V}, {_STATUS}, f AS (SELECT transcript_id, count(*) AS groups, count(*) FILTER (adjacent) + count(*) FILTER (lo > 0 AND hi / lo >= 2) AS high, count(*) + count(*) FILTER (lo > 0 AND hi / lo >= 2) AS total, string_agg(phrase, ',' ORDER BY first_idx) AS phrases FROM g GROUP BY 1) SELECT transcript_id, 1 AS schema_version, coalesce(total, 0)::BIGINT AS total, coalesce(high, 0)::BIGINT AS high, coalesce(groups, 0)::BIGINT AS groups, coalesce(phrases, '') AS phrases, status, CASE WHEN total > 0 AND status <> 'duplicate_contradicted' THEN groups END AS open_lines FROM sx LEFT JOIN f USING (transcript_id)")
+def _(spark, sf):
+    """The quality reports: counts, groups in order, status, and the lines of what is left to review."""
+    r, p = _documents(spark, sf)
+    d = engine.qa_document(r, p.verification).select("transcript_id", "document.*")
+    phrases_ = F.array_join(F.transform(F.coalesce("duplicate_groups", F.array().cast(d.schema["duplicate_groups"].dataType)), lambda g: g["normalized_text"]), ",")
+    return d.select("transcript_id", "schema_version", F.col("summary.total_findings").alias("total"), F.col("summary.by_severity.high").alias("high"), F.col("summary.duplicate_group_count").alias("groups"), phrases_.alias("phrases"), F.col("verification.status").alias("status"), (F.size(F.split("review_summary", "\n  - ")) - 1).cast("long").alias("open_lines"))
+
+
+@query("prepared_documents", f"""WITH {_V}, {_STATUS}, mz AS (SELECT mp.* FROM mp WHERE NOT {_NINTH}),
+n AS (SELECT seg.transcript_id, count(*) FILTER (m.i IS NULL) AS single, count(DISTINCT m.first_idx) AS merged, string_agg(text, ' ' ORDER BY seg.idx) AS raw_transcript FROM seg LEFT JOIN mz m ON m.transcript_id = seg.transcript_id AND m.i = seg.idx GROUP BY 1),
+h AS (SELECT transcript_id, true AS bad FROM g GROUP BY 1)
+SELECT transcript_id, 2 AS schema_version, status, (single + merged)::INTEGER AS segments, merged::INTEGER AS merged, len(string_split(raw_transcript, ' '))::INTEGER AS raw_words, CASE WHEN coalesce(bad, false) OR status IN ('duplicate_confirmed', 'inconclusive', 'failed') THEN 'needs_review' ELSE 'ok' END AS run_status, 7 AS term_count, 0 AS translated_terms FROM n JOIN sx USING (transcript_id) LEFT JOIN h USING (transcript_id)""")
+def _(spark, sf):
+    """The prepared documents: status, segments and merges, words, and what the glossary says."""
+    p = _documents(spark, sf)[1]
+    d = engine.prepared_document(p.documents, GLOSSARY).join(p.documents.select("transcript_id", "run_status"), "transcript_id").select("transcript_id", "run_status", "document.*")
+    merged = F.size(F.filter("segments", lambda s: F.array_contains(s["quality_flags"], "merged_verbatim")))
+    return d.select("transcript_id", "schema_version", F.col("verification.status").alias("status"), F.size("segments").alias("segments"), merged.alias("merged"), F.col("cleaning.raw_word_count").alias("raw_words"), "run_status", F.col("terminology_summary.term_count").alias("term_count"), F.col("terminology_summary.translated_terms").alias("translated_terms"))
+
+
+@query("media_candidates", "SELECT url AS path, regexp_extract(url, '[^/]*$') || CASE page_id % 4 WHEN 0 THEN '.MP4' WHEN 1 THEN '.ogv' WHEN 2 THEN '.mp3' ELSE '.txt' END AS name FROM pages WHERE page_id % 4 < 2")
+def _(spark, sf):
+    """Pages as files of four kinds: which of them are input."""
+    p = table(spark, sf, "pages", "page_id", "url")
+    ending = F.element_at(F.array(*map(F.lit, (".MP4", ".ogv", ".mp3", ".txt"))), (F.col("page_id") % 4 + 1).cast("int"))
+    files = p.select(F.concat("url", ending).alias("path"), F.lit(1).cast("long").alias("length"), "url")
+    return transcripts.candidates(files).join(files, "path").select(F.col("url").alias("path"), "name")

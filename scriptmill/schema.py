@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -44,6 +45,10 @@ def rank_of(severity: Column) -> Column:
     return F.array_position(F.array(*map(F.lit, SEVERITIES)), severity).cast("int") - 1
 
 
+#: What a key looks like (fixed pattern).
+SECRET = re.compile(r"\b(?:gsk_|sk_)[A-Za-z0-9_\-]{16,}")
+
+
 class EngineError(Exception):
     """Base of the engine's errors; ``exit_code`` is what the command line returns."""
 

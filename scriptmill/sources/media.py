@@ -10,8 +10,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptmill.functions.timing import probe_number
-from scriptmill.schema import InputError, MediaError
+from scriptmill.functions.timing import SAFE_AUDIO, SAFE_VIDEO, probe_number
+from scriptmill.schema import InputError, MediaError, OutputExistsError
 
 AUDIO = (".flac", ".wav", ".mp3", ".m4a", ".ogg")
 VIDEO = (".mp4", ".mkv", ".mov", ".webm", ".avi")
@@ -72,16 +72,85 @@ def audio_for(artifact: str, explicit: str | None = None, recorded: str | None =
     return next((p for p in places if exists(p)), None)
 
 
-def cut_command(source: str, target: str, seconds: float, plan: str) -> list[str]:
-    """Arguments of the external tool for a cut under a plan of :func:`scriptmill.functions.timing.codec_plan`."""
-    video, audio = ["-c:v", "libx264", "-preset", "medium", "-crf", "20", "-pix_fmt", "yuv420p"], ["-c:a", "aac", "-b:a", "128k", "-ac", "2"]
-    codec = {"copy": ["-c", "copy"], "copy-video/reencode-audio": ["-c:v", "copy", *audio], "reencode-video/copy-audio": [*video, "-c:a", "copy"], "reencode": [*video, *audio]}[plan]
-    return ["ffmpeg", "-y", "-i", source, "-t", f"{seconds:g}", *codec, target]
+_QUIET = ["-nostdin", "-hide_banner", "-loglevel", "error"]
 
 
-def audio_command(source: str, target: str, seconds: float | None = None) -> list[str]:
+def cut_command(source: str, target: str, seconds: float, plan: str, start: float = 0.0, audio: bool = True, overwrite: bool = False) -> list[str]:
+    """Arguments of the external tool for a cut under a plan of :func:`scriptmill.functions.timing.codec_plan`: the first video and, if any, audio stream from ``start`` on, times from zero, the index in front."""
+    h264, aac = ["-c:v", "libx264", "-preset", "medium", "-crf", "20", "-pix_fmt", "yuv420p"], ["-c:a", "aac", "-b:a", "128k", "-ac", "2"]
+    codec = {"copy": ["-c", "copy"], "copy-video/reencode-audio": ["-c:v", "copy", *aac], "reencode-video/copy-audio": [*h264, "-c:a", "copy"], "reencode": [*h264, *aac]}[plan]
+    maps = ["-map", "0:v:0", *(["-map", "0:a:0?"] if audio else [])]
+    return ["ffmpeg", *_QUIET, "-y" if overwrite else "-n", "-ss", f"{start:g}", "-i", source, "-t", f"{seconds:g}", *maps, "-avoid_negative_ts", "make_zero", *codec, "-movflags", "+faststart", target]
+
+
+def audio_command(source: str, target: str, seconds: float | None = None, start: float = 0.0) -> list[str]:
     """Arguments for mono 16 kHz FLAC."""
-    return ["ffmpeg", "-y", "-i", source, *(["-t", f"{seconds:g}"] if seconds else []), "-vn", "-ac", "1", "-ar", "16000", "-c:a", "flac", target]
+    return ["ffmpeg", *_QUIET, "-y", "-ss", f"{start:g}", "-i", source, *(["-t", f"{seconds:g}"] if seconds else []), "-vn", "-ac", "1", "-ar", "16000", "-c:a", "flac", target]
+
+
+def probe_command(path: str) -> list[str]:
+    return ["ffprobe", "-v", "error", "-print_format", "json", "-show_format", "-show_streams", path]
+
+
+def probe_all(paths: DataFrame, runner: Callable[..., subprocess.CompletedProcess] = subprocess.run) -> DataFrame:
+    """Rows (path) with the probe's JSON text or an error; the tool runs on the executors."""
+    from scriptmill.runtime import ship
+
+    ship(paths.sparkSession)
+
+    def run(frames):
+        for f in frames:
+            probes, errors = [], []
+            for path in f["path"]:
+                try:
+                    probe, error = run_tool(probe_command(path), runner), None
+                except MediaError as e:
+                    probe, error = None, str(e)
+                probes.append(probe)
+                errors.append(error)
+            yield type(f)({"path": f["path"], "probe": probes, "error": errors})
+
+    return paths.select("path").mapInPandas(run, "path string, probe string, error string")
+
+
+def cut_plan(video: str | None, audio: str | None) -> str:
+    """The plan for one file, as :func:`scriptmill.functions.timing.codec_plan` gives it for columns."""
+    keep_video, keep_audio = video in SAFE_VIDEO, audio is None or audio in SAFE_AUDIO
+    return {(True, True): "copy", (True, False): "copy-video/reencode-audio", (False, True): "reencode-video/copy-audio", (False, False): "reencode"}[keep_video, keep_audio]
+
+
+def acquire(source: str, probed: dict, target: str, audio_target: str, seconds: float, start: float = 0.0, overwrite: bool = False, runner: Callable[..., subprocess.CompletedProcess] = subprocess.run, measure: Callable[[str], float | None] | None = None, size: Callable[[str], int] = os.path.getsize) -> dict:
+    """One recording: cut it, extract its audio, check both, and say what was made.
+
+    ``probed`` is a row of :func:`parse_probe` as a dictionary; ``measure``
+    gives the length of a file. The wanted length is cut at the recording's
+    end; a result that is empty or off by more than a second and a tenth of the
+    length is an error.
+    """
+    if os.path.exists(target) and not overwrite:
+        raise OutputExistsError(f"{target} exists; pass overwrite to replace it")
+    if probed.get("video_codec") is None or probed.get("duration") is None:
+        raise MediaError(f"{source} has no video or no known length")
+    wanted = min(seconds, probed["duration"] - start)
+    if wanted <= 0:
+        raise InputError(f"{source} ends before {start:g} s")
+    plan = cut_plan(probed["video_codec"], probed.get("audio_codec"))
+    run_tool(cut_command(source, target, wanted, plan, start, not probed.get("no_audio"), overwrite), runner)
+    made = {"source_path": source, "source_file": os.path.basename(source), "requested_duration_seconds": seconds, "start_seconds": start, "plan": plan, "video": target, "audio": None}
+    outputs = [target]
+    if not probed.get("no_audio"):
+        run_tool(audio_command(source, audio_target, wanted, start), runner)
+        made["audio"] = audio_target
+        outputs.append(audio_target)
+    lengths = []
+    for path in outputs:
+        if not size(path):
+            raise MediaError(f"{path} is empty")
+        length = measure(path) if measure else wanted
+        if length is None or length < 0.05 or abs(length - wanted) > max(1.0, 0.1 * wanted):
+            raise MediaError(f"{path} lasts {length} s instead of {wanted:g} s")
+        lengths.append(length)
+    return made | {"processed_duration_seconds": round(max(0.0, min(lengths[-1], wanted)), 3)}
 
 
 def run_tool(command: list[str], runner: Callable[..., subprocess.CompletedProcess] = subprocess.run) -> str:

@@ -6,7 +6,7 @@ import time
 from collections.abc import Callable
 from typing import Protocol
 
-from scriptmill.schema import RetryableTranscriptionError, TranscriptionError
+from scriptmill.schema import SECRET, RetryableTranscriptionError, TranscriptionError
 
 MAX_UPLOAD = 25 * 1024 * 1024
 
@@ -57,24 +57,38 @@ class TableTranscriber:
         return self.answers[path]
 
 
+def short_detail(error: Exception, most: int = 400) -> str:
+    """What an error says, without anything like a key, in at most ``most`` characters; its kind if it says nothing."""
+    said = str(error).strip()
+    return SECRET.sub("***REDACTED***", said)[:most] if said else type(error).__name__
+
+
 def transcribe_all(paths, transcriber: Transcriber, attempts: int = 3):
-    """(transcript_id, response JSON, error) for rows (transcript_id, path): calls run on the executors, one row at a time."""
+    """(transcript_id, response JSON, error, attempts, retryable, model) for rows (transcript_id, path): calls run on the executors, one row at a time."""
     import json
 
     from scriptmill.runtime import ship
 
     ship(paths.sparkSession)
+    model = getattr(transcriber, "model", None)
+    names = ("transcript_id", "response", "error", "attempts", "retryable", "model")
 
     def run(frames):
         for f in frames:
-            out = {"transcript_id": [], "response": [], "error": []}
+            out = {k: [] for k in names}
             for i, path in zip(f["transcript_id"], f["path"], strict=True):
+                made = []
+
+                def call(path=path, made=made):
+                    made.append(path)
+                    return transcriber.transcribe(path)
+
                 try:
-                    answer, error = json.dumps(with_retries(lambda path=path: transcriber.transcribe(path), attempts)), None
+                    answer, error, again = json.dumps(with_retries(call, attempts)), None, None
                 except TranscriptionError as e:
-                    answer, error = None, str(e)
-                for k, v in zip(out, (i, answer, error), strict=True):
+                    answer, error, again = None, short_detail(e), e.retryable
+                for k, v in zip(names, (i, answer, error, len(made), again, model), strict=True):
                     out[k].append(v)
             yield type(f)(out)
 
-    return paths.select("transcript_id", "path").mapInPandas(run, "transcript_id string, response string, error string")
+    return paths.select("transcript_id", "path").mapInPandas(run, "transcript_id string, response string, error string, attempts int, retryable boolean, model string")

@@ -10,6 +10,8 @@ from scriptmill.functions.timing import duration, metadata_double, parse_timesta
 from scriptmill.runtime import ship
 from scriptmill.schema import TranscriptFormatError
 
+#: Extensions of media that are taken as input (fixed values).
+VIDEO = ("mp4", "mkv", "mov", "avi", "webm", "m4v", "mpg", "mpeg", "ts", "wmv", "flv", "ogv")
 
 
 def _kind(v: Column) -> Column:
@@ -119,8 +121,13 @@ def normalize_response(df: DataFrame, response: str = "response") -> DataFrame:
     return df.select(*rest, F.nullif(F.trim(text), F.lit("")).alias("text"), F.when(is_object, _string(v, "$.language")).alias("language"), F.when(is_object, _get(v, "$.duration", "double")).alias("duration"), shaped.alias("segments"))
 
 
-def list_candidates(spark: SparkSession, folder: str, extensions: tuple[str, ...] = ("mp4", "mkv", "mov", "webm", "avi", "m4v", "flv", "wmv", "mpg", "mpeg", "ts", "mp3")) -> DataFrame:
+def list_candidates(spark: SparkSession, folder: str, extensions: tuple[str, ...] = VIDEO) -> DataFrame:
     """Media files of one folder, case-insensitively by extension, sorted by lower-case name; contents are not read."""
     files = spark.read.format("binaryFile").load(folder).select("path", "length")
-    name = F.element_at(F.split("path", "/"), -1)
-    return files.select("path", name.alias("name"), "length").filter(F.lower(F.element_at(F.split("name", r"\."), -1)).isin(*extensions)).orderBy(F.lower("name"))
+    return candidates(files, extensions).orderBy(F.lower("name"))
+
+
+def candidates(files: DataFrame, extensions: tuple[str, ...] = VIDEO) -> DataFrame:
+    """(path, name, length) of the files with one of the extensions, in either case."""
+    rows = files.select("path", F.element_at(F.split("path", "/"), -1).alias("name"), "length")
+    return rows.filter(F.lower(F.regexp_extract("name", r"\.([^.]+)$", 1)).isin(*extensions))

@@ -63,7 +63,7 @@ def test_known_duplicate(spark, tmp_path):
     out = json.loads(engine.prepared_document(p.documents, parse_glossary(GLOSSARY)).select(F.to_json("document")).first()[0])
     assert out["schema_version"] == 2 and len(out["segments"]) == 3 and out["qa_summary"]["duplicate_group_count"] == 1
     status = r.transcripts.select("transcript_id", F.lit("not_performed").alias("status"))
-    qa = json.loads(engine.qa_document(r, status).select(F.to_json("document")).first()[0])
+    qa = json.loads(engine.qa_document(r, p.verification).select(F.to_json("document")).first()[0])
     assert [f["type"] for f in qa["findings"]][0] == "duplicate_segment_duration_mismatch" and qa["summary"]["by_severity"]["high"] == 2
 
 

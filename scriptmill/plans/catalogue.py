@@ -693,11 +693,11 @@ _NINTH = "transcript_id::BIGINT % 9 = 0"
 _STATUS = f"sx AS (SELECT x.transcript_id, own, CASE WHEN q.transcript_id IS NULL THEN 'not_performed' WHEN x.{_NINTH} THEN 'failed' ELSE status END AS status, confirmed, contradicted FROM x LEFT JOIN (SELECT DISTINCT transcript_id FROM g) q USING (transcript_id) LEFT JOIN st USING (transcript_id))"
 
 
-@query("verification_records", f"WITH {_V}, {_STATUS}, n AS (SELECT transcript_id, count(*) AS n, string_agg(phrase || '=' || verdict, ',' ORDER BY first_idx) AS said FROM v GROUP BY 1) SELECT transcript_id, status <> 'not_performed' AS performed, status, CASE WHEN status = 'not_performed' THEN 'none' ELSE 'second_transcription' END AS method, CASE WHEN status = 'not_performed' THEN 0 WHEN status = 'failed' THEN 2 ELSE 1 END AS attempts, CASE WHEN NOT {_NINTH} THEN 'second' END AS model, status = 'duplicate_contradicted' AS supports_correction, CASE WHEN NOT {_NINTH} THEN confirmed END AS confirmed, CASE WHEN NOT {_NINTH} THEN contradicted END AS contradicted, CASE WHEN NOT {_NINTH} THEN said END AS said, CASE WHEN status = 'failed' THEN 'no answer' END AS last_error FROM sx LEFT JOIN n USING (transcript_id)")
+@query("verification_records", f"WITH {_V}, {_STATUS}, n AS (SELECT transcript_id, count(*) AS n, string_agg(phrase || '=' || verdict, ',' ORDER BY first_idx) AS said FROM v GROUP BY 1) SELECT transcript_id, status <> 'not_performed' AS performed, status, CASE WHEN status = 'not_performed' THEN 'none' ELSE 'second_transcription' END AS method, CASE WHEN status = 'not_performed' THEN 0 WHEN status = 'failed' THEN 2 ELSE 1 END AS attempts, CASE WHEN NOT {_NINTH} THEN 'second' END AS model, status = 'duplicate_contradicted' AS supports_correction, CASE WHEN NOT {_NINTH} THEN coalesce(confirmed, -1) ELSE -1 END AS confirmed, CASE WHEN NOT {_NINTH} THEN coalesce(contradicted, -1) ELSE -1 END AS contradicted, CASE WHEN NOT {_NINTH} THEN said END AS said, CASE WHEN status = 'failed' THEN 'no answer' END AS last_error FROM sx LEFT JOIN n USING (transcript_id)")
 def _(spark, sf):
     v = F.col("verification")
     said = F.array_join(F.transform(v["evidence"]["groups"], lambda g: F.concat(g["phrase"], F.lit("="), g["verdict"])), ",")
-    return _documents(spark, sf)[1].verification.select("transcript_id", *(v[c] for c in ("performed", "status", "method", "attempts", "model", "supports_correction")), v["evidence"]["confirmed_groups"].alias("confirmed"), v["evidence"]["contradicted_groups"].alias("contradicted"), said.alias("said"), v["evidence"]["last_error"].alias("last_error"))
+    return _documents(spark, sf)[1].verification.select("transcript_id", *(v[c].alias(c) for c in ("performed", "status", "method", "attempts", "model", "supports_correction")), F.coalesce(v["evidence"]["confirmed_groups"], F.lit(-1).cast("long")).alias("confirmed"), F.coalesce(v["evidence"]["contradicted_groups"], F.lit(-1).cast("long")).alias("contradicted"), said.alias("said"), v["evidence"]["last_error"].alias("last_error"))
 
 
 @query("alternative_segments", f"WITH {_SEG}, z AS (SELECT transcript_id, idx, s, e, CASE WHEN transcript_id::BIGINT % 3 = 0 AND idx % 2 = 0 THEN text ELSE 'so ' || text END AS text FROM seg WHERE NOT {_NINTH}) SELECT transcript_id, count(*)::INTEGER AS n, string_agg(idx::VARCHAR || ':' || text, ',' ORDER BY idx) AS listed, string_agg(text, ' ' ORDER BY idx) AS merged_text, sum(e - s) AS seconds FROM z GROUP BY 1")
@@ -708,13 +708,13 @@ def _(spark, sf):
     return d.select("transcript_id", F.size(s).alias("n"), F.array_join(F.transform(s, lambda x: F.concat(x["id"], F.lit(":"), x["text"])), ",").alias("listed"), F.col("alternative_text").alias("merged_text"), F.aggregate(s, F.lit(0.0), lambda a, x: a + x["end"] - x["start"]).alias("seconds"))
 
 
-@query("qa_documents", f"WITH {_V}, {_STATUS}, f AS (SELECT transcript_id, count(*) AS groups, count(*) FILTER (adjacent) + count(*) FILTER (lo > 0 AND hi / lo >= 2) AS high, count(*) + count(*) FILTER (lo > 0 AND hi / lo >= 2) AS total, string_agg(phrase, ',' ORDER BY first_idx) AS phrases FROM g GROUP BY 1) SELECT transcript_id, 1 AS schema_version, coalesce(total, 0)::BIGINT AS total, coalesce(high, 0)::BIGINT AS high, coalesce(groups, 0)::BIGINT AS groups, coalesce(phrases, '') AS phrases, status, CASE WHEN total > 0 AND status <> 'duplicate_contradicted' THEN groups END AS open_lines FROM sx LEFT JOIN f USING (transcript_id)")
+@query("qa_documents", f"WITH {_V}, {_STATUS}, f AS (SELECT transcript_id, count(*) AS groups, count(*) FILTER (adjacent) + count(*) FILTER (lo > 0 AND hi / lo >= 2) AS high, count(*) + count(*) FILTER (lo > 0 AND hi / lo >= 2) AS total, string_agg(phrase, ',' ORDER BY first_idx) AS phrases FROM g GROUP BY 1) SELECT transcript_id, 1 AS schema_version, coalesce(total, 0)::BIGINT AS total, coalesce(high, 0)::BIGINT AS high, coalesce(groups, 0)::BIGINT AS groups, coalesce(phrases, '') AS phrases, status, CASE WHEN total > 0 AND status <> 'duplicate_contradicted' THEN groups ELSE 0 END AS open_lines FROM sx LEFT JOIN f USING (transcript_id)")
 def _(spark, sf):
     """The quality reports: counts, groups in order, status, and the lines of what is left to review."""
     r, p = _documents(spark, sf)
     d = engine.qa_document(r, p.verification).select("transcript_id", "document.*")
     phrases_ = F.array_join(F.transform(F.coalesce("duplicate_groups", F.array().cast(d.schema["duplicate_groups"].dataType)), lambda g: g["normalized_text"]), ",")
-    return d.select("transcript_id", "schema_version", F.col("summary.total_findings").alias("total"), F.col("summary.by_severity.high").alias("high"), F.col("summary.duplicate_group_count").alias("groups"), phrases_.alias("phrases"), F.col("verification.status").alias("status"), (F.size(F.split("review_summary", "\n  - ")) - 1).cast("long").alias("open_lines"))
+    return d.select("transcript_id", "schema_version", F.col("summary.total_findings").alias("total"), F.col("summary.by_severity.high").alias("high"), F.col("summary.duplicate_group_count").alias("groups"), phrases_.alias("phrases"), F.col("verification.status").alias("status"), F.coalesce((F.size(F.split("review_summary", "\n  - ")) - 1).cast("long"), F.lit(0).cast("long")).alias("open_lines"))
 
 
 @query("prepared_documents", f"""WITH {_V}, {_STATUS}, mz AS (SELECT mp.* FROM mp WHERE NOT {_NINTH}),

@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from scriptmill.runtime import ship
 
-SLICE_ROWS, SLICE_BYTES = 512, 4 << 20
+SLICE_ROWS, SLICE_BYTES = 256, 2 << 20
 
 
 def slices(batch: pa.RecordBatch, column: int, rows: int = SLICE_ROWS, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -42,7 +42,7 @@ from scriptmill.runtime import Workspace, ship
 
 WINDOW, K = 10, 5
 BITMAP_BITS = BITS
-MEMO = 500_000
+MEMO = 100_000
 _KEEP = bytes(range(0x30, 0x3A)) + bytes(range(0x61, 0x7B)) + bytes(range(0x80, 0x100))
 _TABLE = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b in _KEEP else 32 for b in range(256))
 _PRIME = np.uint64(0x100000001B3)

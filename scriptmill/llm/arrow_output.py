@@ -20,7 +20,9 @@ besides key and text are ignored.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import uuid
 import zlib
 
@@ -38,6 +40,10 @@ from scriptmill.runtime import Workspace, qualified, ship
 
 SEQUENCE, BATCH = 1024, 256  # ids a sequence, sequences a record batch
 MEMO = 500_000
+#: The steps of a tokenizer whose pre-tokens of ASCII words are matches of ASCII (fixed values).
+STEPS = (["NFC", "Replace", "Lowercase"], "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+")
+ASCII = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+PRINTABLE = re.compile(rb"[!-@\[-~]+")
 #: Stands between words that are encoded together.
 MARK = "\x01"
 
@@ -58,6 +64,7 @@ class ChunkEncoder:
 
         self.t = Tokenizer.from_file(path)
         self.added = [x.content.lower().encode() for x in self.t.get_added_tokens_decoder().values()]
+        self.start = os.path.commonprefix(self.added)
         self.width = np.dtype("<u2") if self.t.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         mark = self.t.encode(MARK, add_special_tokens=False).ids
         if len(mark) != 1:
@@ -65,10 +72,13 @@ class ChunkEncoder:
         self.mark = mark[0]
         self.memo: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        self.direct = _splits_ascii(path)
 
     def encode(self, texts: list[str], end: int) -> list[bytes]:
-        folded = [_folded(x.encode()) for x in texts]
-        whole = {i for i, x in enumerate(folded) if any(a in x.lower() for a in self.added)}
+        raw = [x.encode() for x in texts]
+        lower = [x.lower() for x in raw]
+        whole = {i for i, x in enumerate(lower) if self.start in x and any(a in x for a in self.added)}
+        folded = [r if _composes(r) else x for r, x in zip(raw, lower, strict=True)]
         words = [[] if i in whole else x.split() for i, x in enumerate(folded)]
         memo, tail = self.memo, np.array([end], self.width).tobytes()
         missing = []
@@ -77,6 +87,8 @@ class ChunkEncoder:
                 memo[w] = self.old[w]
             else:
                 missing.append(w)
+        if self.direct:
+            missing = [w for w in missing if not self._ascii(w)]
         for i in range(0, len(missing), 512):
             memo.update(self._fresh(missing[i : i + 512]))
         out = [(self._library(texts[i]) if i in whole else b"".join(map(memo.__getitem__, w))) + tail for i, w in enumerate(words)]
@@ -84,6 +96,22 @@ class ChunkEncoder:
             self.old, self.memo = {k: v for k, v in memo.items() if len(k) <= 64}, {}
         return out
 
+    def _ascii(self, word: bytes) -> bool:
+        """Remember a lower-case word of printable ASCII from its pre-tokens, each of which the library's model encodes once; False for any other word."""
+        memo = self.memo
+        if word.isalpha() and word.islower():  # bytes: ASCII letters only, one pre-token
+            pieces = [word]
+        elif PRINTABLE.fullmatch(word):
+            pieces = ASCII.findall(word)
+        else:
+            return False
+        for x in pieces:
+            if x not in memo:
+                memo[x] = np.array([t.id for t in self.t.model.tokenize(x.decode())], self.width).tobytes()
+        if len(pieces) > 1:
+            memo[word] = b"".join(map(memo.__getitem__, pieces))
+        return True
+
     def _library(self, text: str) -> bytes:
         return np.array(self.t.encode(text, add_special_tokens=False).ids, self.width).tobytes()
 
@@ -101,9 +129,20 @@ class ChunkEncoder:
         return found
 
 
-def _folded(raw: bytes) -> bytes:
-    """ASCII letters lower-cased, as the tokenizer would do next, so that fewer distinct words remain; left alone where a combining mark (U+0300 to U+037F) might compose with a letter first."""
-    return raw if b"\xcc" in raw or b"\xcd" in raw else raw.lower()
+def _composes(raw: bytes) -> bool:
+    """Whether a combining mark (U+0300 to U+037F) might compose with a letter before letters are lower-cased; in all other texts ASCII letters can be lower-cased first, so that fewer distinct words remain."""
+    return b"\xcc" in raw or b"\xcd" in raw
+
+
+def _splits_ascii(path: str) -> bool:
+    """Whether the tokenizer's file says that it lower-cases, splits by the pattern of STEPS, maps bytes one by one and does nothing else."""
+    with open(path, encoding="utf-8") as f:
+        d = json.load(f)
+    steps = [x.get("type") for x in (d.get("normalizer") or {}).get("normalizers", [])]
+    split, *rest = (d.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
+    byte_level = [(x.get("type"), x.get("add_prefix_space"), x.get("use_regex")) for x in rest] == [("ByteLevel", False, False)]
+    same = (steps, (split.get("pattern") or {}).get("Regex")) == STEPS and split.get("behavior") == "Removed" and split.get("invert") is True
+    return same and byte_level and not d.get("post_processor") and (d.get("model") or {}).get("type") == "BPE"
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}
@@ -158,13 +197,12 @@ def write_sequences(df: DataFrame, folder: str, tokenizer: str, end_id: int, key
         fs, base = pafs.FileSystem.from_uri(folder)
         draft = f"{base}/_{uuid.uuid4().hex}"
         for b in batches:
-            for s in slices(b, 1):
-                for ids in enc.encode([x or "" for x in s.column(1).to_pylist()], end_id):
-                    if stream is None:
-                        stream = _Stream(fs, f"{draft}.arrow", enc.width)
-                    a = np.frombuffer(ids, enc.width)
-                    counts.append(len(a))
-                    stream.add(a)
+            for s in slices(b, 1, 1024, 4 << 20):
+                if stream is None:
+                    stream = _Stream(fs, f"{draft}.arrow", enc.width)
+                ids = enc.encode([x or "" for x in s.column(1).to_pylist()], end_id)
+                counts += [len(x) // enc.width.itemsize for x in ids]
+                stream.add(np.frombuffer(b"".join(ids), enc.width))
                 keys.append(s.column(0))
         if stream is None:
             return
@@ -190,6 +228,7 @@ class SequenceFile:
         self.reader = pa.ipc.open_file(source)
         self.batches = [self.reader.get_batch(i) for i in range(self.reader.num_record_batches)]
         self.starts = np.cumsum([0] + [b.num_rows for b in self.batches])
+        self.flat = [b.column(0).flatten().to_numpy() for b in self.batches]  # views
 
     def __len__(self) -> int:
         return int(self.starts[-1])
@@ -207,8 +246,8 @@ class SequenceFile:
             at = int(np.searchsorted(self.starts * SEQUENCE, first, "right")) - 1
             if at >= len(self.batches):
                 break
-            flat, i = self.batches[at].column(0).flatten(), first - int(self.starts[at]) * SEQUENCE
-            out.append(flat.slice(i, min(n, len(flat) - i)).to_numpy())
+            i = first - int(self.starts[at]) * SEQUENCE
+            out.append(self.flat[at][i : i + n])
             first, n = first + len(out[-1]), n - len(out[-1])
         return out[0] if len(out) == 1 else np.concatenate(out) if out else np.zeros(0, np.uint32)
 

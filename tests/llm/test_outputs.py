@@ -8,6 +8,8 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from scriptmill import runtime
@@ -29,6 +31,15 @@ def test_chunks_equal_whole_texts():
             assert np.frombuffer(g, e.width).tolist() == [*t.encode(x, add_special_tokens=False).ids, 2], repr(x)
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text(st.characters(min_codepoint=33, max_codepoint=126), min_size=1, max_size=9) | st.sampled_from(["don't", "x's!", "'re'", "é'll", "3.5", "n't"]), max_size=6))
+def test_ascii_words(words):
+    """Words of printable ASCII, which go to the library's model by their pre-tokens."""
+    e, t = A._encoder(VOCABULARY), Tokenizer.from_file(VOCABULARY)
+    assert e.direct
+    assert np.frombuffer(e.encode([" ".join(words)], 2)[0], e.width).tolist() == [*t.encode(" ".join(words), add_special_tokens=False).ids, 2]
+
+
 def test_round_trip(spark):
     t = Tokenizer.from_file(VOCABULARY)
     rows = [(i * 3 % 50, f"text number {i} " * (i % 7 * 40)) for i in range(50)] + [(None, None), (7, "again"), (7, "again")]

@@ -7,24 +7,24 @@ of its anchor, and anchors that occur once prove that their strings do not
 repeat. What reaches a shard are segments: the bytes of all consecutive
 strings that share one anchor, about 135 bytes for 35 strings.
 
-A shard sorts the suffixes of its distinct segments by the difference-cover
-algorithm (:mod:`difference_cover`) and compares adjacent prefixes of 100
-bytes; of each class of equal prefixes all but the earliest string (document,
-then start) are marked. Of identical segments only the earliest is sorted, the
-others are marked whole.
-
-Whole copies, known by their SHA-256, are set apart first: of equal texts the
+Identical segments are found first: all segments are put in order over the
+cluster, by their bytes and then by place, and adjacent ones are compared, across
+the borders of tasks too; all but the earliest are marked whole. Equal segments
+may spread over any number of tasks, so none is too common. A shard then sorts
+the suffixes of its distinct segments by the difference-cover algorithm
+(:mod:`difference_cover`) and compares adjacent prefixes of 100 bytes; of each
+class of equal prefixes all but the earliest string (document, then start) are
+marked.
+
+Whole copies, known by their SHA-256, are set apart before: of equal texts the
 first document stays and the others lose all their bytes, and an anchor counts
 as repeated only if it occurs in different texts or at different places. All
 other comparisons are of bytes; hashes only choose where strings meet.
 
-An anchor with more than ``HOT`` bytes of segments does not go to one task. Its
-segments, and then the strings of those that are left, are put in order over
-the whole cluster, by their bytes and then by place, and adjacent ones are
-compared, across the borders of tasks too. Equal strings may spread over any
-number of tasks, so no anchor, segment or string is too common. The limit
-leaves room for what is sorted beside an anchor, so no shard outgrows the
-packed triples. ``hot=-1`` sorts everything this way.
+An anchor with more than ``HOT`` bytes of distinct segments does not go to one
+task: its strings are put in the same order over the cluster instead. The limit
+leaves room for what is sorted beside an anchor, so no shard outgrows the packed
+triples. ``hot=-1`` sorts everything this way.
 
 Phases are tables in the shared folder. No text, anchor or link reaches the
 driver.
@@ -226,8 +226,8 @@ def _cut_segments(joined: DataFrame) -> DataFrame:
 
 
 def _adjacent(batches):
-    """Rows (bytes, _id, start) of one range in order: which of them have the bytes of the row before. Bytes stay on rows that are not later ones, and on the first and last row of the range (edge 1 and 2, or 3), which are compared with other ranges afterwards."""
-    names = ["bytes", "_id", "start", "later", "edge"]
+    """Rows (bytes, _id, start, h) of one range in order: which of them have the bytes of the row before. Bytes stay on rows that are not later ones, and on the first and last row of the range (edge 1 and 2, or 3), which are compared with other ranges afterwards."""
+    names = ["bytes", "_id", "start", "h", "size", "later", "edge"]
     held, before, first = None, None, True
 
     def out(part, ending):
@@ -241,7 +241,7 @@ def _adjacent(batches):
         edge[0] += first
         edge[-1] += 2 * ending
         before, first = s[n - 1].as_py(), False
-        return pa.RecordBatch.from_arrays([pc.if_else(pa.array(~same | (edge > 0)), s, pa.scalar(None, s.type)), part.column(1), part.column(2), pa.array(same), pa.array(edge)], names=names)
+        return pa.RecordBatch.from_arrays([pc.if_else(pa.array(~same | (edge > 0)), s, pa.scalar(None, s.type)), part.column(1), part.column(2), part.column(3), pc.binary_length(s), pa.array(same), pa.array(edge)], names=names)
 
     for b in batches:
         if b.num_rows:
@@ -253,25 +253,33 @@ def _adjacent(batches):
 
 
 def _in_order(rows: DataFrame, ws: Workspace, label: str) -> tuple[DataFrame, DataFrame]:
-    """Of rows (bytes, _id, start), sorted over the cluster: the earliest of each class of equal bytes, and (_id, start) of all others."""
+    """Of rows (bytes, _id, start, h), sorted over the cluster by all but h: the earliest of each class of equal bytes, and (_id, start, size) of all others."""
     order = ["bytes", "_id", "start"]
-    judged = ws.save(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_adjacent, "bytes binary, _id long, start int, later boolean, edge int"), f"{label}_judged")
+    judged = ws.save(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_adjacent, "bytes binary, _id long, start int, h long, size int, later boolean, edge int"), f"{label}_judged")
     at, edges = F.struct("_id", "start"), judged.filter("edge > 0")
     last = edges.filter("edge > 1").groupBy("bytes").agg(F.min(at).alias("_last"))
-    moved = ws.save(edges.filter("edge <> 2 AND NOT later").join(last, "bytes").filter(F.col("_last") < at).select("_id", "start"), f"{label}_moved")  # at most one row a range
-    own = judged.filter("NOT later").join(moved, ["_id", "start"], "left_anti").select("bytes", "_id", "start")
-    return own, judged.filter("later").select("_id", "start").unionByName(moved)
+    moved = ws.save(edges.filter("edge <> 2 AND NOT later").join(last, "bytes").filter(F.col("_last") < at).select("_id", "start", "size"), f"{label}_moved")  # at most one row a range
+    own = judged.filter("NOT later").join(moved.select("_id", "start"), ["_id", "start"], "left_anti").select("bytes", "_id", "start", "h")
+    return own, judged.filter("later").select("_id", "start", "size").unionByName(moved)
+
 
+def _runs_of(later: DataFrame) -> DataFrame:
+    return later.select("_id", F.col("start").cast("long").alias("start"), (F.col("size") - LENGTH + 1).cast("long").alias("n"))
 
-def _hot_runs(segments: DataFrame, ws: Workspace) -> DataFrame:
-    """Marked strings of hot anchors: identical segments are all marked but the earliest, then the strings of those that are left."""
-    rows = segments.select(F.col("segment").alias("bytes"), "_id", "start")
-    length = segments.select("_id", "start", (F.octet_length("segment").cast("long") - LENGTH + 1).alias("n"))
-    own, copies = _in_order(rows, ws, "hot_segments")
-    strings = own.select("bytes", "_id", "start", F.explode(F.sequence(F.lit(0), F.octet_length("bytes") - LENGTH)).alias("_j"))
-    strings = strings.select(F.substring("bytes", F.col("_j") + 1, F.lit(LENGTH)).alias("bytes"), "_id", (F.col("start") + F.col("_j")).alias("start"))
-    later = _in_order(strings, ws, "hot_strings")[1].withColumn("n", F.lit(1).cast("long"))
-    return copies.join(length, ["_id", "start"]).unionByName(later).withColumn("start", F.col("start").cast("long"))
+
+def _marked(segments: DataFrame, ws: Workspace, hot: int) -> DataFrame:
+    """(_id, start, n): the marked runs. Identical segments are all marked but the earliest; what is left is sorted shard by shard, or string by string where an anchor has too much of it."""
+    own, copies = _in_order(segments.select(F.col("segment").alias("bytes"), "_id", "start", "h"), ws, "segments")
+    large = ws.save(own.groupBy("h").agg(F.sum(F.octet_length("bytes") + 1).alias("_n")).filter(F.col("_n") > hot).select("h"), "large")
+    split = bool(large.head(1))
+    cold = own.join(large, "h", "left_anti") if split else own
+    cold = cold.repartition("h").sortWithinPartitions("h").select("h", F.col("bytes").alias("segment"), "_id", "start")
+    marked = cold.mapInArrow(_sort_shards, "id long, start long, n long").withColumnRenamed("id", "_id").unionByName(_runs_of(copies))
+    if split:
+        strings = own.join(large, "h", "left_semi").select("bytes", "_id", "start", "h", F.explode(F.sequence(F.lit(0), F.octet_length("bytes") - LENGTH)).alias("_j"))
+        strings = strings.select(F.substring("bytes", F.col("_j") + 1, F.lit(LENGTH)).alias("bytes"), "_id", (F.col("start") + F.col("_j")).alias("start"), "h")
+        marked = marked.unionByName(_runs_of(_in_order(strings, ws, "strings")[1]))
+    return marked
 
 
 def _strip(joined: DataFrame, key: str, schema) -> DataFrame:
@@ -322,14 +330,8 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", hot:
     segments = ws.save(_cut_segments(docs.join(runs, "_id")), "segments")
     ws.drop("repeated")
     ws.sweep()
-    large = ws.save(segments.groupBy("h").agg(F.sum(F.octet_length("segment") + 1).alias("_n")).filter(F.col("_n") > hot).select("h"), "large")
-    split = bool(large.head(1))
-    cold = segments.join(large, "h", "left_anti") if split else segments
-    marked = cold.repartition("h").sortWithinPartitions("h").select("h", "segment", "_id", "start").mapInArrow(_sort_shards, "id long, start long, n long").withColumnRenamed("id", "_id")
-    if split:
-        marked = marked.unionByName(_hot_runs(ws.save(segments.join(large, "h", "left_semi"), "hot"), ws))
-    marked = ws.save(marked.groupBy("_id").agg(F.collect_list(F.struct("start", "n")).alias("_runs")), "marked")
-    ws.drop("segments", "hot")
+    marked = ws.save(_marked(segments, ws, hot).groupBy("_id").agg(F.collect_list(F.struct("start", "n")).alias("_runs")), "marked")
+    ws.drop("segments")
     ws.sweep()
     return _strip(docs.join(marked, "_id", "left").join(copies, "_id", "left"), key, schema_of(docs, [key], "n_bytes long, n_removed long, n_spans long, kept_sha256 string"))
 

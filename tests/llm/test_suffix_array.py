@@ -95,7 +95,7 @@ def test_anchor_of_many_distinct_segments(spark, n):
 def test_one_string_everywhere(spark):
     """Equal strings that fill several ranges of the global order: the first row of a range is compared with the range before."""
     rows = [(bytes([65 + i % 3]) * 100, i, j) for i in range(3000) for j in range(2)]
-    df = spark.createDataFrame([(bytearray(a), i, j) for a, i, j in rows], "bytes binary, _id long, start int").repartition(7)
+    df = spark.createDataFrame([(bytearray(a), i, j) for a, i, j in rows], "bytes binary, _id long, start int").selectExpr("*", "7L AS h").repartition(7)
     own, later = S._in_order(df, Workspace(spark, "order"), "x")
     assert sorted((bytes(r.bytes), r._id, r.start) for r in own.collect()) == [(bytes([65 + i]) * 100, i, 0) for i in range(3)]
     got = [tuple(r) for r in later.collect()]

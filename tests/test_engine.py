@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from scriptmill.plans import engine
+from scriptmill.runtime import Workspace
+from scriptmill.sources.transcriber import TableTranscriber
 from scriptmill.schema import GlossaryError, TranscriptFormatError
 from scriptmill.sources import sinks
 from scriptmill.sources.glossary import parse_glossary
@@ -182,3 +184,16 @@ def test_streaming(spark, tmp_path):
     got = []
     watch(spark, str(folder), lambda f, n: got.extend(r.type for r in f.collect()), str(tmp_path / "cp"), once=True).awaitTermination()
     assert got == ["segment_gap"]
+
+
+def test_second_transcriptions(spark, tmp_path):
+    """Only transcripts with repetitions are transcribed again; failures and missing media are recorded."""
+    d = doc([seg(0, 0, 7, REPEATED), seg(1, 7, 23, REPEATED), seg(2, 23, 30, "and more")])
+    r = run(spark, tmp_path, {"a": d, "b": d, "c": d, "d": doc([seg(0, 0, 8, "once only")], seconds=0)})
+    media = r.transcripts.select("transcript_id", F.regexp_extract("transcript_id", r"(\w)\.en\.json$", 1).alias("path")).filter("path <> 'c'")
+    answers = {"a": {"text": f"{REPEATED} and more", "segments": [{"start": 0, "end": 23, "text": f"{REPEATED} and more"}]}}
+    alternative, failures = engine.second_transcriptions(r, media, TableTranscriber(answers), Workspace(spark, "second"))
+    p = engine.prepare_transcripts(r, None, alternative, failures)
+    got = {x.transcript_id[-9]: x for x in p.documents.collect()}
+    assert [got[k].verification_status for k in "abcd"] == ["duplicate_contradicted", "failed", "failed", "not_performed"]
+    assert got["b"].verification.evidence.last_error and got["a"].alternative_text == f"{REPEATED} and more" and not got["d"].verification.performed

@@ -16,7 +16,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group linked by a similarity of 0.8 or more on five-word shingles."""
+    """Keeps one document of each group linked by a similarity of 0.8 or more on five-word shingles: by SimHash, verified exactly, and by prefixes where SimHash leaves similar texts apart."""
     return simhash.one_per_class(docs, find=similar.classes)
 
 

@@ -67,10 +67,10 @@ def fingerprint(text: str, size: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
+def fingerprints(df: DataFrame, keep: list[str], text: str = "text", size: int = SHINGLE) -> DataFrame:
     """Kept columns and ``fp`` (the fingerprint as a signed long)."""
     signed = lambda x: x - (1 << 64) if x >> 63 else x
-    return map_texts(df, lambda: lambda texts: {"fp": [signed(fingerprint(x)) for x in texts]}, keep, text, schema_of(df, keep, "fp long"))
+    return map_texts(df, lambda: lambda texts: {"fp": [signed(fingerprint(x, size)) for x in texts]}, keep, text, schema_of(df, keep, "fp long"))
 
 
 def _key(positions, fp="fp"):

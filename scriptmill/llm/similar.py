@@ -1,8 +1,10 @@
-"""Near copies by exact similarity: Jaccard of at least 4/5 on five-word shingles.
+"""Near copies by SimHash and exact similarity: Jaccard of at least 4/5 on five-word shingles.
 
-SimHash cannot find all of these pairs: at a similarity of 0.8 fingerprints
+SimHash comes first: fingerprints of five-word shingles, linked by the index of
+:mod:`simhash`, and each of its links verified on the whole sets. It cannot
+find all similar pairs: at a similarity of 0.8 fingerprints
 differ in about 10 bits, often in a bit of every byte, so no number of shared
-bytes holds for all of them. Candidates come from prefixes instead: with all
+bytes holds for all of them. The pairs that it leaves apart come from prefixes: with all
 shingles in one common order, two sets of similarity 4/5 or more share one
 among the first ``n - ceil(4n/5) + 1`` of each. Shingles that a sample of
 documents repeats come last in the order, so that common lines post little;
@@ -10,7 +12,7 @@ the sample changes the cost, never the result. Every candidate is verified on
 the whole sets, and components are taken over the pairs that hold.
 
 A dense group shares whole lists. Each list is first compared with one of its
-members. Nodes that are then still in different components are compared with
+members, where SimHash has not put both into one component. Nodes that are then still in different components are compared with
 each other by sizes, places and parity signatures, which lose no similar pair:
 first each node with the ``NEAREST`` nearest of a list, which joins dense groups
 by few pairs, then, in lists that have more, with all that are possible. Only pairs that
@@ -34,6 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scriptmill.llm import simhash
 from scriptmill.llm.batches import map_texts, schema_of, slices
 from scriptmill.llm.bitmap import bitmap, known
 from scriptmill.llm.components import components
@@ -320,12 +323,32 @@ def _pairs(rest: DataFrame, parity: DataFrame, most: int | None) -> DataFrame:
     return rows.mapInArrow(_list_pairs(most), "u long, v long").distinct()
 
 
+def _near_prints(prints: DataFrame, ws: Workspace) -> DataFrame:
+    """(u, v) nodes that SimHash links, from (node, fp): nodes of one fingerprint by its first node, and the first nodes of linked fingerprints."""
+    firsts = ws.save(prints.groupBy("fp").agg(F.min("node").alias("first")), "prints")  # a table, so that the join with a very common fingerprint can be split
+    same = prints.join(firsts, "fp").filter("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v"))
+    one, two = (firsts.select(F.col("fp").alias(x), F.col("first").alias(f"_{x}")) for x in "uv")
+    near = simhash.links(firsts.select("fp"), ws).distinct().join(one, "u").join(two, "v")
+    return same.unionByName(near.select(F.greatest("_u", "_v").alias("u"), F.least("_u", "_v").alias("v")))
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs (u, v) whose nodes are in different components."""
+    one, two = (roots.select(F.col("u").alias(x), F.col("root").alias(f"_{x}")) for x in "uv")
+    met = pairs.join(one, "u", "left").join(two, "v", "left")
+    return met.filter(F.coalesce("_u", "u") != F.coalesce("_v", "v")).select("u", "v")
+
+
 def classes(df: DataFrame, ws: Workspace, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """(key, kept columns, root, component_id): documents linked by pairs of similarity 4/5 or more; ``root`` names a component also where all its keys are null."""
     ship(df.sparkSession)
-    docs = ws.save(df.select(F.col(key).alias("_key"), *keep, _node(text).alias("node")), "documents")
+    docs = df.select(F.col(key).alias("_key"), *keep, _node(text).alias("node"), F.col(text).alias("_text"))
+    docs = ws.save(simhash.fingerprints(docs, ["_key", *keep, "node"], "_text", SHINGLE), "documents")
     texts = df.select(_node(text).alias("node"), F.col(text).alias("text"))  # hashed again where needed: less than writing every text
-    nodes = ws.save(docs.groupBy("node").agg(F.min("_key").alias("_least")), "nodes")
+    nodes = ws.save(docs.groupBy("node").agg(F.min("_key").alias("_least"), F.min("fp").alias("fp")), "nodes")
+    near = ws.save(_near_prints(nodes.select("node", "fp"), ws), "near_prints")
+    found = _verified(near, texts, ws, "simhash")
+    ws.sweep()
     postings = _postings(texts, _common(texts, nodes.count()))
     order = ["h", "piece", "node"]
     shared = ws.save(postings.repartition("h", "piece").sortWithinPartitions(*order).mapInArrow(_shared_lists, _SHARED), "shared")
@@ -334,8 +357,8 @@ def classes(df: DataFrame, ws: Workspace, key: str = "doc_id", text: str = "text
     left = F.least(F.col("size") - F.col("at"), F.col("pivot_size") - F.col("pivot_at"))  # at most so much is shared from here on
     near = shared.filter((F.col("node") != F.col("pivot")) & similar(left, F.col("size"), F.col("pivot_size")))
     near = near.select(F.greatest("node", "pivot").alias("u"), F.least("node", "pivot").alias("v")).distinct()
-    first = ws.save(_parity_allows(near, parity), "first")
-    links = _verified(first, texts, ws, "first")
+    first = ws.save(_apart(_parity_allows(near, parity), components(found, ws, "prints_round")), "first")
+    links = found.unionByName(_verified(first, texts, ws, "first"))
     rest = _mixed(shared, components(links, ws, "round"), ws, "mixed")
     ws.drop("shared")
     ws.sweep()

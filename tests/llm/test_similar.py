@@ -7,7 +7,8 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from scriptmill.llm import similar
+from scriptmill.llm import similar, simhash
+from scriptmill.runtime import Workspace
 
 
 def shingles(text):
@@ -115,3 +116,47 @@ def test_long_texts(spark):
     got = corpus_pipeline.near_duplicate_stage(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "")
     want = kept(rows)
     assert sorted(r.doc_id for r in got.collect()) == want and 6 <= len(want) < len(rows) - 6
+
+
+def test_simhash_first(spark, monkeypatch):
+    """The stage links by the fingerprints of five-word shingles: without prefixes it joins what they link and the sets confirm, and nothing else."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefgh", k=4))
+    texts = ["", "  ", "one two", "One  two"]
+    for _ in range(15):  # edits of few words in long texts: few bits
+        now = [word() for _ in range(rng.randint(100, 600))]
+        texts.append(" ".join(now))
+        for _ in range(3):
+            now[rng.randrange(len(now))] = word()
+            texts.append(" ".join(now))
+    texts += [texts[9].upper(), texts[9].replace(" ", "\n")]
+    prints = [simhash.fingerprint(t, 5) for t in texts]
+    want = {}
+    for i in range(len(texts)):
+        for j in range(i):
+            a, b = shingles(texts[i]), shingles(texts[j])
+            if (prints[i] ^ prints[j]).bit_count() <= 3 and len(a & b) >= 0.8 * len(a | b):
+                want.setdefault(j, set()).add(i)
+                want.setdefault(i, set()).add(j)
+    group, places = {}, range(len(texts))
+    for i in places:
+        if i not in group:
+            todo = [i]
+            while todo:
+                if (j := todo.pop()) not in group:
+                    group[j] = i
+                    todo += want.get(j, ())
+    assert 20 < len(set(group.values())) < len(texts) - 10
+    monkeypatch.setattr(similar, "_shared_lists", lambda batches: iter(()))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = similar.classes(df, Workspace(spark, "test"))
+    assert {r.doc_id: r.component_id for r in got.collect()} == group
+
+
+def test_links_of_fingerprints_are_verified(spark, monkeypatch):
+    """Texts that share a fingerprint and little else stay apart."""
+    rows = [(1, "a b c d e f g h"), (2, "p q r s t u v w"), (3, "p q r s t u v  w"), (4, "k l")]
+    monkeypatch.setattr(simhash, "fingerprint", lambda text, size: 5)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = similar.classes(df, Workspace(spark, "test"))
+    assert {r.doc_id: r.component_id for r in got.collect()} == {1: 1, 2: 2, 3: 2, 4: 4}
